@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The job being rebuilt runs once over complete tables and ends; it has no
+watermark, window, state or late-data handling, so there is no streaming
+operator to provide. New requirement pairs are handled by re-running the batch
+job (``sources.sinks.run_and_write`` overwrites only the pair partitions it
+writes).
+"""
