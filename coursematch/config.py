@@ -51,11 +51,19 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "coursematch", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the coursematch settings; UI off."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+                  app_name: str = "coursematch", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
+    """Build (or reuse) a session with the coursematch settings; UI off.
+
+    In local mode every executor thread lives in the driver JVM, so the
+    driver heap is the whole job's memory.
+    """
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SESSION_CONF, **(extra or {})}.items():
