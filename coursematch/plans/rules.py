@@ -109,7 +109,8 @@ def _college_allowed(college: Column) -> Column:
 
 
 def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
-                 dprog: DataFrame, dprog_req: DataFrame) -> DataFrame:
+                 dprog: DataFrame, dprog_req: DataFrame,
+                 pair: tuple[str, str] | None = None) -> DataFrame:
     """J5: sub-requirement rule rows of every requirement pair, lists expanded.
 
     Returns ``PAIR + RULE_COLUMNS``. Steps, in the source's order of effect:
@@ -118,9 +119,15 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     keys, list name = course, overlapping year ranges, course row marked 'L')
     -> running cutoff at the first pseudo course and the previous row's mark,
     both over the rows before the final filters -> final filters.
+
+    ``pair`` = (rqfyt, lyt) restricts the requirement side to one pair, as one
+    run of the source does; course lists still come from every requirement.
     """
-    rm = _prefixed(req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
-                                   & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull()), "rm_")
+    req = req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
+                          & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull())
+    if pair is not None:
+        req = req.filter((F.trim("rqfyt") == pair[0]) & (F.trim("lyt") == pair[1]))
+    rm = _prefixed(req, "rm_")
     sr = _prefixed(sub_req, "sr_")
     sra = _prefixed(sub_req_ar, "sra_")
     lists = _prefixed(course_lists(req_main, sub_req, sub_req_ar), "li_")
