@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from coursematch.functions.text import eq_blank_padded, like
 from coursematch.operators.joins import overlap_join
 from coursematch.operators.windows import lag_marker, running_cutoff, top1
+from coursematch.plans.normalise import CRITERIA_PARTS, RAW_CRITERIA, criteria_parts
 
 REQ_KEYS = ["instidq", "instid", "instcd", "rname", "rqfyt"]
 PAIR = ["pair_rqfyt", "pair_lyt"]
@@ -110,7 +111,7 @@ def _college_allowed(college: Column) -> Column:
 
 def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
                  dprog: DataFrame, dprog_req: DataFrame,
-                 pair: tuple[str, str] | None = None) -> DataFrame:
+                 pair: tuple[str, str] | None = None, raw_criteria: bool = True) -> DataFrame:
     """J5: sub-requirement rule rows of every requirement pair, lists expanded.
 
     Returns ``PAIR + RULE_COLUMNS``. Steps, in the source's order of effect:
@@ -122,6 +123,11 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
 
     ``pair`` = (rqfyt, lyt) restricts the requirement side to one pair, as one
     run of the source does; course lists still come from every requirement.
+
+    ``raw_criteria=False`` replaces the 18 raw criteria columns by their
+    row-local criteria strings (``normalise.CRITERIA_PARTS``), computed before
+    the window, so the window's shuffle and sort carry 6 short columns
+    instead of 18.
     """
     req = req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
                           & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull())
@@ -157,10 +163,54 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
         how="left")
 
+    raw = {"r_ac1": "rm_ac1", "r_ac2": "rm_ac2", "r_rc1": "rm_rc1", "r_rc2": "rm_rc2",
+           "ac": "sra_ac", "rc": "sra_rc",
+           **{c: f"sr_{c}" for c in ("ac1", "ac2", "ac3", "ac4", "ac5", "acor",
+                                      "rc1", "rc2", "rc3", "rc4", "rc5", "rcand")}}
     is_list = F.trim("li_rqtype") == LIST_RQTYPE
     matchctl_coa = (F.when(is_list, F.coalesce(F.trim("li_matchctl"), F.lit("")))
                      .otherwise(F.coalesce(F.trim("sra_matchctl"), F.lit(""))))
-    rows = base.select(
+    course = (F.when(is_list, F.coalesce(F.trim("li_course"), F.lit("")))
+               .otherwise(F.coalesce(F.trim("sra_course"), F.lit(""))))
+
+    # The window runs over the joined source columns themselves: no derived
+    # column is built before it, so its shuffle and sort carry each source
+    # value once. Non-list rows of a sub-requirement share one partition
+    # (list columns NULL); each referenced list forms its own. Ties in the
+    # source's order are broken by the list's last year and the
+    # sub-requirement id.
+    # (Key expressions become columns first: both window functions then share
+    # one exchange and one sort.)
+    base = base.withColumn("_seq2_int", _c("sra_user_seq_no").cast("int"))
+    partition = [*PAIR, "sr_rname", "sr_rqfyt", "li_rname", "li_rqfyt", "sr_user_seq_no"]
+    order = ["_seq2_int", "li_seq1", "li_seq2", "li_lyt", "sr_int_seq_no"]
+    pseudo = eq_blank_padded(_c("sra_ar_type"), ACCEPT_AR_TYPE) & matchctl_coa.isin(*PSEUDO_MATCHCTL)
+    rows = running_cutoff(base, partition, order, pseudo, "_cutoff")
+    rows = lag_marker(rows, partition, order, "sra_matchctl", "_lag_m")
+
+    crsflag = F.coalesce(F.trim("sra_crsflag"), F.lit(""))
+    shape = ((like(course, F.lit("___ ___"))
+              & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
+             | course.rlike(r"^[A-Za-z]{3}\z")
+             | F.trim(matchctl_coa).isin(*PASS_MATCHCTL))
+    kept = rows.filter(
+        (F.trim("sra_ar_type") != REJECT_AR_TYPE)
+        & (F.col("_cutoff") == 0)
+        & ~F.coalesce(matchctl_coa, F.lit("")).isin(*PSEUDO_MATCHCTL)
+        & ((F.trim(crsflag) == "") | crsflag.isNull())
+        & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK)
+        & shape)
+
+    # Output columns, built on the surviving rows only.
+    if raw_criteria:
+        criteria = [_c(src).alias(name) for name, src in raw.items()]
+        out_columns = RULE_COLUMNS
+    else:
+        criteria = criteria_parts(lambda name: _c(raw[name]))
+        out_columns = [c for c in RULE_COLUMNS if c not in RAW_CRITERIA] + CRITERIA_PARTS
+    matchctl = (F.when(matchctl_coa.isNull() | (F.trim(matchctl_coa) == HIDE_NEXT_MARK), F.lit(""))
+                 .otherwise(matchctl_coa))
+    out = kept.select(
         *PAIR,
         F.trim("sr_rname").alias("rname"),
         _c("sra_sub_int_seq_no").cast("string").alias("subreq_id"),
@@ -173,53 +223,16 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         _c("sra_user_seq_no").alias("seq2"),
         F.coalesce(_c("li_seq1"), F.lit(1)).alias("seq3"),
         F.coalesce(_c("li_seq2"), F.lit(1)).alias("seq4"),
-        F.when(is_list, F.coalesce(F.trim("li_course"), F.lit("")))
-         .otherwise(F.coalesce(F.trim("sra_course"), F.lit(""))).alias("course"),
+        course.alias("course"),
         F.coalesce(F.trim("sra_tflg"), _c("li_tflg")).alias("tflg"),
         F.coalesce(F.trim("sra_ctitle"), _c("li_ctitle")).alias("ctitle"),
-        F.coalesce(F.trim("sra_crsflag"), F.lit("")).alias("crsflag"),
         _c("dp_college").alias("college"),
         _c("dp_category").alias("category"),
         _c("sra_ar_type").alias("ar_type"),
-        matchctl_coa.alias("matchctl_coa"),
         _c("rm_rqtype").alias("rqtype"),
+        matchctl.alias("matchctl"),
         _c("sr_grp").alias("grp"), _c("sr_grpmin").alias("grpmin"), _c("sr_grpmax").alias("grpmax"),
         _c("sr_hcmin").alias("hcmin"), _c("sr_hcmax").alias("hcmax"),
-        _c("rm_ac1").alias("r_ac1"), _c("rm_ac2").alias("r_ac2"),
-        _c("rm_rc1").alias("r_rc1"), _c("rm_rc2").alias("r_rc2"),
-        _c("sra_ac").alias("ac"), _c("sra_rc").alias("rc"),
-        *[_c(f"sr_{c}").alias(c) for c in ("ac1", "ac2", "ac3", "ac4", "ac5", "acor",
-                                            "rc1", "rc2", "rc3", "rc4", "rc5", "rcand")],
-        # window inputs
-        _c("sr_rname").alias("_w_sr_rname"), _c("sr_rqfyt").alias("_w_sr_rqfyt"),
-        _c("li_rname").alias("_w_li_rname"), _c("li_rqfyt").alias("_w_li_rqfyt"),
-        _c("li_lyt").alias("_w_li_lyt"), _c("sr_int_seq_no").alias("_w_sr_int_seq_no"),
-        _c("sra_user_seq_no").cast("int").alias("_w_seq2"),
-        _c("li_seq1").alias("_w_li_seq1"), _c("li_seq2").alias("_w_li_seq2"),
-        _c("sra_matchctl").alias("_w_sra_matchctl"),
+        *criteria,
     )
-
-    # Non-list rows of a sub-requirement share one partition (list columns
-    # NULL); each referenced list forms its own. Ties in the source's order
-    # are broken by the list's last year and the sub-requirement id.
-    partition = [*PAIR, "_w_sr_rname", "_w_sr_rqfyt", "_w_li_rname", "_w_li_rqfyt", "seq1"]
-    order = ["_w_seq2", "_w_li_seq1", "_w_li_seq2", "_w_li_lyt", "_w_sr_int_seq_no"]
-    pseudo = eq_blank_padded(F.col("ar_type"), ACCEPT_AR_TYPE) & F.col("matchctl_coa").isin(*PSEUDO_MATCHCTL)
-    rows = running_cutoff(rows, partition, order, pseudo, "cutoff")
-    rows = lag_marker(rows, partition, order, "_w_sra_matchctl", "lag_m")
-
-    course = F.col("course")
-    shape = ((like(course, F.lit("___ ___"))
-              & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
-             | course.rlike(r"^[A-Za-z]{3}\z")
-             | F.trim("matchctl_coa").isin(*PASS_MATCHCTL))
-    kept = rows.filter(
-        (F.trim("ar_type") != REJECT_AR_TYPE)
-        & (F.col("cutoff") == 0)
-        & ~F.coalesce(F.col("matchctl_coa"), F.lit("")).isin(*PSEUDO_MATCHCTL)
-        & ((F.trim("crsflag") == "") | F.col("crsflag").isNull())
-        & ~F.coalesce(F.col("lag_m"), F.lit("")).contains(HIDE_NEXT_MARK)
-        & shape)
-    matchctl = (F.when(F.col("matchctl_coa").isNull() | (F.trim("matchctl_coa") == HIDE_NEXT_MARK), F.lit(""))
-                 .otherwise(F.col("matchctl_coa")))
-    return kept.select(*PAIR, *[matchctl.alias(c) if c == "matchctl" else F.col(c) for c in RULE_COLUMNS])
+    return out.select(*PAIR, *out_columns)
