@@ -239,9 +239,9 @@ def q_code_explode(spark, sf_dir):
 def _pattern_join(spark, sf_dir, with_level: bool):
     r = _rules(spark, sf_dir).withColumn("_pattern", course_pattern(F.col("course")))
     c = _courses(spark, sf_dir).withColumn("_value", F.trim("full_crse"))
-    cond = (level_condition(F.col("upper_lower_acc"), F.col("upper_lower_rej"), F.col("_value"))
+    cond = ((lambda v: level_condition(F.col("upper_lower_acc"), F.col("upper_lower_rej"), v))
             if with_level else None)
-    j = wildcard_join(r, c, "_pattern", "_value", condition=cond, how="left")
+    j = wildcard_join(r, c, "_pattern", "_value", value_condition=cond, how="left")
     return j.select(*PAIR, "rname", "subreq_id", "seq1", "seq2", "seq3", "seq4", "course", "lyt2",
                     "upper_lower_acc", "full_crse", "crse_id", "ac_cw")
 

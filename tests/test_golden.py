@@ -200,7 +200,7 @@ def test_wildcard_and_level_golden(spark, course, acc, rej, expected):
     rules = spark.createDataFrame([(course, acc, rej)], "course string, acc string, rej string")
     courses = spark.createDataFrame(COURSES3, "full_crse string")
     r = rules.withColumn("_pattern", course_pattern(F.col("course")))
-    cond = level_condition(F.col("acc"), F.col("rej"), F.col("full_crse"))
+    cond = lambda v: level_condition(F.col("acc"), F.col("rej"), v)
     got = [x[0] for x in rows(wildcard_join(r, courses, "_pattern", "full_crse", cond), "full_crse")]
     assert got == (expected or [None])
 
@@ -209,7 +209,7 @@ def test_strict_level_reject_option(spark):
     rules = spark.createDataFrame([("MAT", "", "U")], "course string, acc string, rej string")
     courses = spark.createDataFrame(COURSES3, "full_crse string")
     r = rules.withColumn("_pattern", course_pattern(F.col("course")))
-    cond = level_condition(F.col("acc"), F.col("rej"), F.col("full_crse"), strict_reject=True)
+    cond = lambda v: level_condition(F.col("acc"), F.col("rej"), v, strict_reject=True)
     got = [x[0] for x in rows(wildcard_join(r, courses, "_pattern", "full_crse", cond), "full_crse")]
     assert got == ["MAT 117", "MAT 817"]
 
