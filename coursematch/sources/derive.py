@@ -11,6 +11,7 @@ test data only; production reads the real tables through ``sources.readers``.
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -199,12 +200,27 @@ def oracle_ctes(*names: str) -> str:
 
 
 class Domain:
-    """Lazily built DataFrames of the base and derived tables of one data folder."""
+    """The base and derived tables of one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Derived tables are written once per session as parquet under the
+    session's checkpoint folder (``spark.checkpoint.dir``) and read back, so
+    every query scans them like the source tables they stand for, with
+    column pruning and filter pushdown, instead of re-deriving them.
+    ``materialize=False`` keeps them as views.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
         self._frames: dict[str, DataFrame] = {}
+        self._folder: str | None = None
+
+    def _target(self, name: str) -> str:
+        if self._folder is None:
+            from coursematch.config import checkpoint_dir
+            self._folder = f"{checkpoint_dir(self.spark).rstrip('/')}/domain-{uuid.uuid4().hex}"
+        return f"{self._folder}/{name}"
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -213,9 +229,19 @@ class Domain:
             else:
                 text, deps = VIEWS[name]
                 df = self.spark.sql(text, **{d: self[d] for d in deps})
+                if self.materialize:
+                    target = self._target(name)
+                    df.write.mode("overwrite").parquet(target)
+                    df = self.spark.read.parquet(target)
             self._frames[name] = df
         return self._frames[name]
 
+    def load(self, *names: str) -> "Domain":
+        """Build the named tables now (all derived tables by default)."""
+        for n in names or VIEWS:
+            self[n]
+        return self
+
 
 @lru_cache(maxsize=8)
 def _domain(spark: SparkSession, sf_dir: str) -> Domain:
