@@ -65,8 +65,11 @@ def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame)
                                    & (F.trim("rqtype") == LIST_RQTYPE)), "rm_")
     sr = _prefixed(sub_req, "sr_")
     sra = _prefixed(sub_req_ar, "sra_")
-    joined = (sr.join(sra, sr["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left")
-                .join(rm, _req_join_sub(rm, sr, "rm_", "sr_"), "inner"))
+    # The inner join to list requirements only involves sub_req and req_main
+    # columns, so it runs first: the course-row join then touches the
+    # sub-requirements of lists only, not the whole table.
+    joined = (rm.join(sr, _req_join_sub(rm, sr, "rm_", "sr_"), "inner")
+                .join(sra, sr["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left"))
     return joined.select(
         _c("rm_instidq").alias("instidq"), _c("rm_instid").alias("instid"),
         _c("rm_instcd").alias("instcd"), _c("rm_rname").alias("rname"),
