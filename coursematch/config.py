@@ -23,8 +23,11 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Broadcast is decided by size: the static estimate for the planner and the
-# measured shuffle size for AQE. Nothing larger than this is ever broadcast.
+# Broadcast is decided by size. The planner's static estimate of a file scan
+# comes from compressed file sizes and can be several times too small, so it
+# may broadcast only tiny tables; anything larger is broadcast only after a
+# shuffle has measured it (AQE), under the larger limit.
+STATIC_BROADCAST_LIMIT = "10MB"
 BROADCAST_LIMIT = "64MB"
 
 
@@ -45,7 +48,7 @@ def tune_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", BROADCAST_LIMIT)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", STATIC_BROADCAST_LIMIT)
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", BROADCAST_LIMIT)
     return spark
 
