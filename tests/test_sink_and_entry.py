@@ -74,3 +74,17 @@ def test_oracle_agrees_on_small_tables(spark):
         s = Counter(tuple(r[c] for c in order) for r in df.collect())
         o = Counter(tuple(dict(zip(ocols, r))[c] for c in order) for r in res.fetchall())
         assert s == o, name
+
+
+def test_run_and_write_end_to_end(spark, tmp_path):
+    from coursematch.queries import inputs, q_course_match
+    from coursematch.sources.sinks import run_and_write
+    out = str(tmp_path / "job")
+    run_and_write(inputs(spark, SF_SMALL), out)
+    back = (spark.read.option("header", True).option("inferSchema", False).csv(out)
+                 .select("pair_rqfyt", "pair_lyt", "rname", "seq1", "seq2", "full_crse"))
+    expected = q_course_match(spark, SF_SMALL).selectExpr(
+        "pair_rqfyt", "pair_lyt", "rname", "cast(seq1 as string) seq1", "cast(seq2 as string) seq2", "full_crse")
+    assert back.count() == expected.count() > 0
+    assert back.exceptAll(expected).count() == 0
+    assert len(glob.glob(f"{out}/pair_rqfyt=*/pair_lyt=*")) == expected.select(*PAIR).distinct().count()
