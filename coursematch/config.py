@@ -76,14 +76,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return tune_session(spark)
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.startswith("local")
+
+
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    sc = spark.sparkContext
+    return bool(sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a folder of our own set.
+    Only when the session names none *and* runs in local mode (tests) is a
+    folder of our own set; on a cluster a machine-local folder would be lost
+    with its executor, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="coursematch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -209,9 +209,13 @@ class Domain:
     ``materialize=False`` keeps them as views.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
+        from coursematch.config import has_checkpoint_dir, is_local
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        if materialize is None:
+            # Stored only where a shared checkpoint folder exists (or in local mode).
+            materialize = has_checkpoint_dir(spark) or is_local(spark)
         self.materialize = materialize
         self._frames: dict[str, DataFrame] = {}
         self._folder: str | None = None
