@@ -114,7 +114,8 @@ def _college_allowed(college: Column) -> Column:
 
 def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
                  dprog: DataFrame, dprog_req: DataFrame,
-                 pair: tuple[str, str] | None = None, raw_criteria: bool = True) -> DataFrame:
+                 pair: tuple[str, str] | None = None, raw_criteria: bool = True,
+                 method: str = "split") -> DataFrame:
     """J5: sub-requirement rule rows of every requirement pair, lists expanded.
 
     Returns ``PAIR + RULE_COLUMNS``. Steps, in the source's order of effect:
@@ -127,6 +128,10 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     ``pair`` = (rqfyt, lyt) restricts the requirement side to one pair, as one
     run of the source does; course lists still come from every requirement.
 
+    ``method="window"`` runs the cutoff and previous-row test as one window
+    over all rows; the default ``"split"`` gives the same rows and keeps the
+    window only for sub-requirement groups that contain a '!' row (see below).
+
     ``raw_criteria=False`` replaces the 18 raw criteria columns by their
     row-local criteria strings (``normalise.CRITERIA_PARTS``), computed before
     the window, so the window's shuffle and sort carry 6 short columns
@@ -155,17 +160,6 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         F.trim("sr_rqfyt") == F.trim("dp_dpfyt"),
     ], "left").filter(_college_allowed(_c("dp_college")))
     base = base.join(sra, base["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left")
-    base = overlap_join(
-        base, lists,
-        keys=[(F.trim("li_instidq"), F.trim("rm_instidq")),
-              (F.trim("li_instid"), F.trim("rm_instid")),
-              (F.trim("li_instcd"), F.trim("rm_instcd")),
-              (F.trim("li_rname"), F.trim("sra_course"))],
-        left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
-        right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
-        condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
-        how="left")
-
     raw = {"r_ac1": "rm_ac1", "r_ac2": "rm_ac2", "r_rc1": "rm_rc1", "r_rc2": "rm_rc2",
            "ac": "sra_ac", "rc": "sra_rc",
            **{c: f"sr_{c}" for c in ("ac1", "ac2", "ac3", "ac4", "ac5", "acor",
@@ -175,34 +169,61 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
                      .otherwise(F.coalesce(F.trim("sra_matchctl"), F.lit(""))))
     course = (F.when(is_list, F.coalesce(F.trim("li_course"), F.lit("")))
                .otherwise(F.coalesce(F.trim("sra_course"), F.lit(""))))
-
-    # The window runs over the joined source columns themselves: no derived
-    # column is built before it, so its shuffle and sort carry each source
-    # value once. Non-list rows of a sub-requirement share one partition
-    # (list columns NULL); each referenced list forms its own. Ties in the
-    # source's order are broken by the list's last year and the
-    # sub-requirement id.
-    # (Key expressions become columns first: both window functions then share
-    # one exchange and one sort.)
+    pseudo = eq_blank_padded(_c("sra_ar_type"), ACCEPT_AR_TYPE) & matchctl_coa.isin(*PSEUDO_MATCHCTL)
+    marked = F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK)
+
+    def with_lists(df: DataFrame, members: DataFrame = lists, how: str = "left") -> DataFrame:
+        return overlap_join(
+            df, members,
+            keys=[(F.trim("li_instidq"), F.trim("rm_instidq")),
+                  (F.trim("li_instid"), F.trim("rm_instid")),
+                  (F.trim("li_instcd"), F.trim("rm_instcd")),
+                  (F.trim("li_rname"), F.trim("sra_course"))],
+            left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
+            right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
+            condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
+            how=how)
+
+    # Non-list rows of a sub-requirement share one window partition (list
+    # columns NULL); each referenced list forms its own. Ties in the source's
+    # order are broken by the list's last year and the sub-requirement id.
+    # Key expressions are columns, so the two window functions share one
+    # exchange and one sort.
     base = base.withColumn("_seq2_int", _c("sra_user_seq_no").cast("int"))
     partition = [*PAIR, "sr_rname", "sr_rqfyt", "li_rname", "li_rqfyt", "sr_user_seq_no"]
     order = ["_seq2_int", "li_seq1", "li_seq2", "li_lyt", "sr_int_seq_no"]
-    pseudo = eq_blank_padded(_c("sra_ar_type"), ACCEPT_AR_TYPE) & matchctl_coa.isin(*PSEUDO_MATCHCTL)
-    rows = running_cutoff(base, partition, order, pseudo, "_cutoff")
-    rows = lag_marker(rows, partition, order, "sra_matchctl", "_lag_m")
 
     crsflag = F.coalesce(F.trim("sra_crsflag"), F.lit(""))
     shape = ((like(course, F.lit("___ ___"))
               & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
              | course.rlike(r"^[A-Za-z]{3}\z")
              | F.trim(matchctl_coa).isin(*PASS_MATCHCTL))
-    kept = rows.filter(
-        (F.trim("sra_ar_type") != REJECT_AR_TYPE)
-        & (F.col("_cutoff") == 0)
-        & ~F.coalesce(matchctl_coa, F.lit("")).isin(*PSEUDO_MATCHCTL)
-        & ((F.trim(crsflag) == "") | crsflag.isNull())
-        & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK)
-        & shape)
+    row_tests = ((F.trim("sra_ar_type") != REJECT_AR_TYPE)
+                 & ~F.coalesce(matchctl_coa, F.lit("")).isin(*PSEUDO_MATCHCTL)
+                 & ((F.trim(crsflag) == "") | crsflag.isNull())
+                 & shape)
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        rows = running_cutoff(rows, partition, order, pseudo, "_cutoff")
+        rows = lag_marker(rows, partition, order, "sra_matchctl", "_lag_m")
+        return rows.filter(row_tests & (F.col("_cutoff") == 0)
+                           & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK))
+
+    if method == "window":
+        kept = windowed(with_lists(base))
+    else:
+        # The previous-row test can only fire in a sub-requirement group that
+        # has a '!' row: list-expanded rows carry the referencing row's 'L'.
+        # Those groups keep the window; every other row needs only "before the
+        # partition's first pseudo course", a grouped minimum over the (rare)
+        # pseudo-course rows joined back -- no shuffle or sort of the rows.
+        group = [*PAIR, "sr_rname", "sr_rqfyt", "sr_user_seq_no"]
+        marked_groups = base.filter(marked).select(*group).distinct()
+        a = windowed(with_lists(_semi(base, marked_groups, group, "left_semi")))
+        rest = with_lists(_semi(base, marked_groups, group, "left_anti"))
+        firsts = _first_pseudo(base, lists, with_lists, partition, order, pseudo)
+        b = _before_first(rest, firsts, partition, order).filter(row_tests)
+        kept = a.drop("_cutoff", "_lag_m").unionByName(b)
 
     # Output columns, built on the surviving rows only.
     if raw_criteria:
@@ -239,3 +260,65 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         *criteria,
     )
     return out.select(*PAIR, *out_columns)
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: str):
+    r = right.select(*[F.col(c).alias(prefix + c) for c in cols])
+    cond = None
+    for c in cols:
+        t = left[c].eqNullSafe(r[prefix + c])
+        cond = t if cond is None else cond & t
+    return r, cond
+
+
+def _semi(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
+    """``df`` rows whose ``cols`` are (left_semi) / are not (left_anti) in ``keys``, NULL = NULL."""
+    k, cond = _null_safe_on(df, keys, cols, "_k_")
+    return df.join(k, cond, how)
+
+
+def _order_key(cols: list[str]) -> Column:
+    """Ascending, NULLs-last order of ``cols`` as one comparable struct."""
+    fields = []
+    for i, c in enumerate(cols):
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def _first_pseudo(base: DataFrame, lists: DataFrame, with_lists, partition: list[str], order: list[str],
+                  pseudo: Column) -> DataFrame:
+    """First pseudo-course position per window partition (only partitions that have one).
+
+    Pseudo rows are found without the full list expansion: course rows marked
+    with a pseudo code directly, plus list references joined to the pseudo
+    members of their lists only. One grouped minimum (partial aggregation)
+    folds them per partition.
+    """
+    direct = (base.filter(~(F.trim("sra_matchctl") == LIST_MATCHCTL)
+                          | F.col("sra_matchctl").isNull())
+                  .withColumn("li_rname", F.lit(None).cast("string"))
+                  .withColumn("li_rqfyt", F.lit(None).cast("string"))
+                  .withColumn("li_rqtype", F.lit(None).cast("string"))
+                  .withColumn("li_matchctl", F.lit(None).cast("string"))
+                  .withColumn("li_seq1", F.lit(None).cast("int"))
+                  .withColumn("li_seq2", F.lit(None).cast("int"))
+                  .withColumn("li_lyt", F.lit(None).cast("string"))
+                  .filter(pseudo))
+    pseudo_members = lists.filter(F.coalesce(F.trim("li_matchctl"), F.lit("")).isin(*PSEUDO_MATCHCTL))
+    via_lists = with_lists(base.filter(F.trim("sra_matchctl") == LIST_MATCHCTL), pseudo_members,
+                           how="inner").filter(pseudo)
+    cols = [*partition, *order]
+    flagged = direct.select(*cols).unionByName(via_lists.select(*cols))
+    return flagged.groupBy(*partition).agg(F.min(_order_key(order)).alias("_first"))
+
+
+def _before_first(rows: DataFrame, firsts: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    """Rows strictly before their partition's first pseudo course (all rows when it has none)."""
+    f = firsts.select(*[F.col(c).alias("_f_" + c) for c in partition], "_first")
+    cond = None
+    for c in partition:
+        t = rows[c].eqNullSafe(f["_f_" + c])
+        cond = t if cond is None else cond & t
+    joined = rows.join(f, cond, "left")
+    return (joined.filter(F.col("_first").isNull() | (_order_key(order) < F.col("_first")))
+                  .drop("_first", *["_f_" + c for c in partition]))

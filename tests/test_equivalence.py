@@ -79,3 +79,14 @@ def test_one_pass_equals_union_of_pair_runs(spark):
         sliced = all_pairs.filter((F.col("pair_rqfyt") == rq) & (F.col("pair_lyt") == ly))
         a, b = rows(one.drop(*PAIR)), rows(sliced.drop(*PAIR))
         assert a == b and len(a) > 0
+
+
+def test_split_cutoff_equals_single_window(spark):
+    """The default rule expansion (window only for groups with a '!' row, first-pseudo join
+    elsewhere) gives exactly the rows of one window over everything."""
+    i = inputs(spark, SF_SMALL)
+    args = (i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req)
+    split = expand_rules(*args, method="split")
+    window = expand_rules(*args, method="window")
+    a, b = rows(split), rows(window)
+    assert a == b and len(a) > 0
