@@ -40,6 +40,8 @@ class MatchConfig:
     strict_level_reject: bool = False
     # Reproduce the reference's rc_and test (W subset of N, SURVEY Q2) unless asked otherwise.
     rc_and_all_of_n: bool = False
+    # Rule cutoff: "split" (window only for groups with a hidden-row mark) or "window".
+    rule_method: str = "split"
     # Extra settings passed to the session builder.
     extra_conf: dict = field(default_factory=dict)
 

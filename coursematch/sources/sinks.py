@@ -60,7 +60,7 @@ def run_and_write(inputs: cm.Inputs, path: str, cfg: MatchConfig = MatchConfig()
     Returns the written result as read back from the rules checkpoint plan
     (lazy, for inspection).
     """
-    rules = materialize(cm.rules(inputs), "rules")
+    rules = materialize(cm.rules(inputs, cfg), "rules")
     result = cm.course_match(inputs, cfg, rules_df=rules)
     write_result(result, path)
     return result
