@@ -88,3 +88,15 @@ def test_run_and_write_end_to_end(spark, tmp_path):
     assert back.count() == expected.count() > 0
     assert back.exceptAll(expected).count() == 0
     assert len(glob.glob(f"{out}/pair_rqfyt=*/pair_lyt=*")) == expected.select(*PAIR).distinct().count()
+
+
+def test_jdbc_source_options_come_from_environment(monkeypatch):
+    # No database is reachable here: only the option set handed to Spark's JDBC reader is checked.
+    from coursematch.sources.readers import JdbcSource
+    monkeypatch.setenv("CM_TEST_USER", "reader")
+    monkeypatch.setenv("CM_TEST_PASSWORD", "secret")
+    src = JdbcSource(url="jdbc:postgresql://db.example/ods", user_env="CM_TEST_USER",
+                     password_env="CM_TEST_PASSWORD", fetch_size=5000)
+    opts = src.options()
+    assert opts["user"] == "reader" and opts["password"] == "secret"
+    assert opts["fetchsize"] == "5000" and opts["driver"] == "org.postgresql.Driver"
