@@ -11,6 +11,7 @@ test data only; production reads the real tables through ``sources.readers``.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from functools import lru_cache
 
@@ -219,6 +220,7 @@ class Domain:
         self.materialize = materialize
         self._frames: dict[str, DataFrame] = {}
         self._folder: str | None = None
+        self._lock = threading.RLock()
 
     def _target(self, name: str) -> str:
         if self._folder is None:
@@ -227,6 +229,10 @@ class Domain:
         return f"{self._folder}/{name}"
 
     def __getitem__(self, name: str) -> DataFrame:
+        with self._lock:
+            return self._get(name)
+
+    def _get(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name in BASE_TABLES:
                 df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
