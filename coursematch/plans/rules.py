@@ -133,10 +133,11 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     window only for sub-requirement groups that contain a '!' row (see below).
 
     ``raw_criteria=False`` replaces the 18 raw criteria columns by their
-    row-local criteria strings (``normalise.CRITERIA_PARTS``), computed before
-    the window, so the window's shuffle and sort carry 6 short columns
-    instead of 18.
+    row-local criteria strings (``normalise.CRITERIA_PARTS``), computed on the
+    surviving rows only.
     """
+    if method not in ("split", "window"):
+        raise ValueError("method must be 'split' or 'window'")
     req = req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
                           & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull())
     if pair is not None:
@@ -215,8 +216,10 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         # The previous-row test can only fire in a sub-requirement group that
         # has a '!' row: list-expanded rows carry the referencing row's 'L'.
         # Those groups keep the window; every other row needs only "before the
-        # partition's first pseudo course", a grouped minimum over the (rare)
-        # pseudo-course rows joined back -- no shuffle or sort of the rows.
+        # partition's first pseudo course": a grouped minimum over the (rare)
+        # pseudo-course rows, left-joined back. Unlike a window partition,
+        # that join can be split by AQE when one partition key is hot (or the
+        # small side broadcast), and row tests reach the scans below it.
         group = [*PAIR, "sr_rname", "sr_rqfyt", "sr_user_seq_no"]
         marked_groups = base.filter(marked).select(*group).distinct()
         a = windowed(with_lists(_semi(base, marked_groups, group, "left_semi")))
