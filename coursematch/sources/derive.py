@@ -191,15 +191,6 @@ def _closure(names) -> list[str]:
     return order
 
 
-def oracle_ctes(*names: str) -> str:
-    """``WITH`` clause defining the derived views ``names`` (and their inputs) for DuckDB."""
-    parts = []
-    for name in _closure(names):
-        text, deps = VIEWS[name]
-        parts.append(f"{name} AS ({text.format(**{d: d for d in deps})}\n)")
-    return "WITH " + ",\n".join(parts) + "\n" if parts else ""
-
-
 class Domain:
     """The base and derived tables of one data folder.
 
