@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from coursematch.functions.text import eq_blank_padded, like
 from coursematch.operators.joins import overlap_join
-from coursematch.operators.windows import lag_marker, running_cutoff, top1
+from coursematch.operators.windows import lag_marker, lag_marker_chunked, running_cutoff, top1
 from coursematch.plans.normalise import CRITERIA_PARTS, RAW_CRITERIA, criteria_parts
 
 REQ_KEYS = ["instidq", "instid", "instcd", "rname", "rqfyt"]
@@ -34,6 +34,9 @@ EXCLUDED_COLLEGE_WORDS = ("MAPP", "TAG")
 PROGRAM_CATEGORIES = ("A", "C", "F", "G", "L", "M", "N", "P", "Q", "R", "S", "X", "e", "f", "t", "y", "z")
 # ---------------------------------------------------------------------------
 
+# Course rows per chunk when the previous-row mark is computed chunk by chunk.
+LAG_CHUNK_ROWS = 256
+
 RULE_COLUMNS = [
     "rname", "subreq_id", "rqfyt", "lyt", "rtitle1", "seq1", "seq2", "seq3", "seq4", "course",
     "tflg", "ctitle", "college", "category", "ar_type", "rqtype", "rqfyt2", "lyt2", "matchctl",
@@ -220,13 +223,23 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         # pseudo-course rows, left-joined back. Unlike a window partition,
         # that join can be split by AQE when one partition key is hot (or the
         # small side broadcast), and row tests reach the scans below it.
+        # In the marked groups the previous-row mark is computed for the
+        # non-list rows only (list rows carry 'L'), per chunk of the course-row
+        # number so that even one very large group spreads over tasks.
         group = [*PAIR, "sr_rname", "sr_rqfyt", "sr_user_seq_no"]
         marked_groups = base.filter(marked).select(*group).distinct()
-        a = windowed(with_lists(_semi(base, marked_groups, group, "left_semi")))
-        rest = with_lists(_semi(base, marked_groups, group, "left_anti"))
         firsts = _first_pseudo(base, lists, with_lists, partition, order, pseudo)
+        rows_a = with_lists(_semi(base, marked_groups, group, "left_semi"))
+        listed = F.col("li_rname").isNotNull() | F.col("li_rqfyt").isNotNull()
+        non_list = lag_marker_chunked(rows_a.filter(~listed), partition, order, "sra_matchctl", "_lag_m",
+                                      F.floor(F.col("_seq2_int") / LAG_CHUNK_ROWS))
+        rows_a = non_list.unionByName(rows_a.filter(listed).withColumn("_lag_m", F.lit(None).cast("string")))
+        a = (_before_first(rows_a, firsts, partition, order)
+             .filter(row_tests & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK))
+             .drop("_lag_m"))
+        rest = with_lists(_semi(base, marked_groups, group, "left_anti"))
         b = _before_first(rest, firsts, partition, order).filter(row_tests)
-        kept = a.drop("_cutoff", "_lag_m").unionByName(b)
+        kept = a.unionByName(b)
 
     # Output columns, built on the surviving rows only.
     if raw_criteria:
