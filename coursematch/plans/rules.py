@@ -132,8 +132,8 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     run of the source does; course lists still come from every requirement.
 
     ``method="window"`` runs the cutoff and previous-row test as one window
-    over all rows; the default ``"split"`` gives the same rows and keeps the
-    window only for sub-requirement groups that contain a '!' row (see below).
+    over all rows; the default ``"split"`` gives the same rows without a
+    window over whole partitions (see below).
 
     ``raw_criteria=False`` replaces the 18 raw criteria columns by their
     row-local criteria strings (``normalise.CRITERIA_PARTS``), computed on the
@@ -216,13 +216,13 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     if method == "window":
         kept = windowed(with_lists(base))
     else:
-        # The previous-row test can only fire in a sub-requirement group that
-        # has a '!' row: list-expanded rows carry the referencing row's 'L'.
-        # Those groups keep the window; every other row needs only "before the
-        # partition's first pseudo course": a grouped minimum over the (rare)
-        # pseudo-course rows, left-joined back. Unlike a window partition,
-        # that join can be split by AQE when one partition key is hot (or the
-        # small side broadcast), and row tests reach the scans below it.
+        # Cutoff: a row is kept iff it precedes its partition's first pseudo
+        # course, a grouped minimum over the (rare) pseudo-course rows that is
+        # left-joined back. Unlike a window partition, that join can be split
+        # by AQE when one partition key is hot (or the small side broadcast),
+        # and row tests reach the scans below it. The previous-row test can
+        # only fire in a sub-requirement group that has a '!' row
+        # (list-expanded rows carry the referencing row's 'L').
         # In the marked groups the previous-row mark is computed for the
         # non-list rows only (list rows carry 'L'), per chunk of the course-row
         # number so that even one very large group spreads over tasks.
