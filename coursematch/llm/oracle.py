@@ -14,12 +14,12 @@ comp AS (SELECT node, min(reach) AS component_id FROM walk GROUP BY node)
 OP1 = rf"""
 WITH RECURSIVE toks AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ),
 sh AS (
   SELECT DISTINCT doc_id, s FROM (
-    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), i -> list_aggregate(w[i:i+2], 'string_agg', ' '))
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: list_aggregate(w[i:i+2], 'string_agg', ' '))
                                WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END) AS s
     FROM toks)
 ),
@@ -35,8 +35,8 @@ FROM documents d JOIN comp c ON c.node = d.doc_id LEFT JOIN size s USING (doc_id
 OP3 = f"""
 WITH RECURSIVE vecs AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
 links AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM vecs x JOIN vecs y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v)
@@ -49,4 +49,22 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.component_id, e.vec_id =
 FROM embeddings e JOIN comp c ON c.node = e.vec_id LEFT JOIN n ON n.v = e.vec_id
 """
 
-ORACLE = {"op1_minhash": OP1, "op3_hyperplane": OP3}
+OP8 = """
+WITH l AS (
+  SELECT doc_id, i - 1 AS at, ls[i] AS x, ls[i + 1] AS y, ls[i + 2] AS z, len(ls) AS n
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL), unnest(range(1, len(ls) + 1)) u(i)
+),
+w AS (
+  SELECT doc_id, at, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, at) AS turn FROM l WHERE at + 2 < n
+),
+gone AS (SELECT DISTINCT doc_id, at + j AS at FROM w, unnest([0, 1, 2]) v(j) WHERE turn > 1),
+per AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.at) AS n_removed,
+    coalesce(string_agg(l.x, chr(10) ORDER BY l.at) FILTER (WHERE g.at IS NULL), '') AS kept
+  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, md5(coalesce(kept, '')) AS kept_md5
+FROM documents d LEFT JOIN per USING (doc_id)
+"""
+
+ORACLE = {"op1_minhash": OP1, "op3_hyperplane": OP3, "op8_line_windows": OP8}

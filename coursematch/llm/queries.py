@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,4 +22,23 @@ def op3_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_hyperplane)}
+def op6_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.kdtree import shard
+
+    return shard(_table(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op7_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.licenses import scan
+
+    return scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.linededup import drop_repeated_lines
+
+    kept = drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op3_hyperplane, op6_kdtree, op7_diagonals, op8_line_windows)}
