@@ -51,17 +51,17 @@ FROM embeddings e JOIN comp c ON c.node = e.vec_id LEFT JOIN n ON n.v = e.vec_id
 
 OP8 = """
 WITH l AS (
-  SELECT doc_id, i - 1 AS at, ls[i] AS x, ls[i + 1] AS y, ls[i + 2] AS z, len(ls) AS n
+  SELECT doc_id, i - 1 AS pos, ls[i] AS x, ls[i + 1] AS y, ls[i + 2] AS z, len(ls) AS n
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL), unnest(range(1, len(ls) + 1)) u(i)
 ),
 w AS (
-  SELECT doc_id, at, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, at) AS turn FROM l WHERE at + 2 < n
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, pos) AS turn FROM l WHERE pos + 2 < n
 ),
-gone AS (SELECT DISTINCT doc_id, at + j AS at FROM w, unnest([0, 1, 2]) v(j) WHERE turn > 1),
+gone AS (SELECT DISTINCT doc_id, pos + j AS pos FROM w, unnest([0, 1, 2]) v(j) WHERE turn > 1),
 per AS (
-  SELECT l.doc_id, count(*) AS n_lines, count(g.at) AS n_removed,
-    coalesce(string_agg(l.x, chr(10) ORDER BY l.at) FILTER (WHERE g.at IS NULL), '') AS kept
-  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at GROUP BY l.doc_id
+  SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+    coalesce(string_agg(l.x, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS kept
+  FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id
 )
 SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, md5(coalesce(kept, '')) AS kept_md5
 FROM documents d LEFT JOIN per USING (doc_id)

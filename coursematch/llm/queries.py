@@ -41,4 +41,28 @@ def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_hyperplane, op6_kdtree, op7_diagonals, op8_line_windows)}
+def op4_qgrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.decontam import contamination
+
+    found = contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.select("row.doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").cast("long").alias("n_items"),
+                        F.array_sort(F.array_distinct("hits.item_id")).alias("items"))
+
+
+def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.crf import quality
+
+    scored = quality(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", F.coalesce(F.crc32(F.col("row.doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.mixing import mix
+
+    mixed = mix(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"),
+                shares={"clean": 0.8, "low": 0.15, "toxic": 0.05}, keep=["doc_id"])
+    return mixed.select("row.doc_id", "n_tokens", F.col("p0").alias("p_clean"), F.col("p1").alias("p_low"), F.col("p2").alias("p_toxic"), "rate")
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op10_mixing)}
