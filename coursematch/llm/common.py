@@ -183,3 +183,26 @@ class Forest:
         a, b = self.find(a), self.find(b)
         self.up[max(a, b)] = min(a, b)
         return a != b
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that hold whole runs of equal keys, from batches sorted by the key."""
+    held: list[pa.Table] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        held.append(t)
+        n += t.num_rows
+        if n < rows:
+            continue
+        t = pa.concat_tables(held)
+        v = t[key].to_numpy()
+        edges = np.flatnonzero(v[1:] != v[:-1]) + 1
+        cut = int(edges[-1]) if len(edges) else 0
+        if cut:
+            yield t.slice(0, cut)
+        held, n = [t.slice(cut)], t.num_rows - cut
+    if n:
+        yield pa.concat_tables(held)

@@ -16,6 +16,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=3, similarity="0.85")
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.suffixtree import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def op3_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coursematch.llm.hyperplane import near_vectors
 
@@ -65,4 +71,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "n_tokens", F.col("p0").alias("p_clean"), F.col("p1").alias("p_low"), F.col("p2").alias("p_toxic"), "rate")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_suffix_tree, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op10_mixing)}
