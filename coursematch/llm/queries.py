@@ -63,6 +63,12 @@ def op5_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.suffixdedup import drop_repeats
+
+    return drop_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coursematch.llm.mixing import mix
 
@@ -71,4 +77,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "n_tokens", F.col("p0").alias("p_clean"), F.col("p1").alias("p_low"), F.col("p2").alias("p_toxic"), "rate")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_suffix_tree, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_suffix_tree, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op9_deep_shallow, op10_mixing)}
