@@ -31,7 +31,7 @@ class Store:
         """Write ``df`` and read it back."""
         self.n += 1
         path = f"{self.root}/{self.n:02d}-{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._llm_path = path
         return out
