@@ -128,12 +128,14 @@ def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray,
     n = np.where(n_words >= k, n_words - k + 1, np.minimum(n_words, 1))
     bounds = np.concatenate([[0], np.cumsum(n)])
     out = np.zeros(bounds[-1], np.uint64)
+    if not len(hashes):
+        return out, bounds
     row = np.repeat(np.arange(len(n)), n)
     at = first[:-1][row] + (np.arange(bounds[-1]) - bounds[:-1][row])
     length = np.minimum(n_words, k)[row]
     for j in range(k):
         have = j < length
-        out += np.where(have, hashes[np.minimum(at + j, max(len(hashes) - 1, 0))] if len(hashes) else 0, 0) * POWER[j + 7]
+        out += np.where(have, hashes[np.minimum(at + j, len(hashes) - 1)], np.uint64(0)) * POWER[j + 7]
     return mix(out + length.astype(np.uint64)), bounds
 
 

@@ -24,7 +24,7 @@ NOTICES = {
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
 }
-COVER = 0.8         # share of a notice's word pairs that a span must hold
+COVER = 0.85        # share of a notice's word pairs that a span must hold
 DRIFT = 2           # largest step between diagonals of one span
 #: Words as the scan takes them, before lower-casing.
 WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
