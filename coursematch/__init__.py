@@ -9,7 +9,7 @@ Layers:
                   running cutoff, lag marker, interval-overlap join, wildcard join,
                   keyed deduplication, character explode).
 * ``plans``     – the course-matching steps composed from the above.
-* ``streaming`` – nothing: the reference job is a single batch run.
+* ``llm``       – training-data operators, used by nothing else here.
 """
 
 from coursematch.config import build_session, checkpoint_dir, tune_session

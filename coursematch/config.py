@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import SparkSession
@@ -35,15 +35,27 @@ BROADCAST_LIMIT = "64MB"
 class MatchConfig:
     """Parameters of one course-matching run."""
 
-    as_of: date = date(1998, 6, 1)
+    # The day whose course versions count; None: today, fixed when the plan is built.
+    as_of: date | None = None
+    # Only requirements, lists and programs of this institution; None: of all.
+    institution: str | None = None
+    # Where a job (``coursematch.job``) reads the source tables (one folder each) and the
+    # crosswalk CSV, and where it writes the result.
+    source: str | None = None
+    source_format: str = "parquet"
+    crosswalk: str | None = None
+    output: str | None = None
+    # Requirement pairs (first year, last year) of a partial run; None: all.
+    pairs: tuple[tuple[str, str], ...] | None = None
     # Reproduce the reference's no-op level reject unless asked otherwise.
     strict_level_reject: bool = False
     # Reproduce the reference's rc_and test (W subset of N, SURVEY Q2) unless asked otherwise.
     rc_and_all_of_n: bool = False
-    # Rule cutoff: "split" (window only for groups with a hidden-row mark) or "window".
+    # Rule cutoff: "split" (grouped passes, no whole-partition window) or "window".
     rule_method: str = "split"
-    # Extra settings passed to the session builder.
-    extra_conf: dict = field(default_factory=dict)
+
+    def day(self) -> date:
+        return self.as_of or date.today()
 
 
 def tune_session(spark: SparkSession) -> SparkSession:
@@ -79,12 +91,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def has_checkpoint_dir(spark: SparkSession) -> bool:
-    sc = spark.sparkContext
-    return bool(sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None))
+    """Driver and executors are one process, so its folders are shared by definition."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

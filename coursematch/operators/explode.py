@@ -15,17 +15,6 @@ from pyspark.sql import functions as F
 KEYS = ["ac_all", "rc_ord", "rc_and", "ac_cw"]
 
 
-def explode_chars(df: DataFrame, column: str, name: str = "code", keep_empty: bool = True) -> DataFrame:
-    """One row per character of ``column`` with its 1-based position.
-
-    ``''`` gives one row with code ``''`` when ``keep_empty``, none otherwise.
-    """
-    exploded = df.select("*", F.posexplode(F.split(F.col(column), "")).alias("_pos", name))
-    if not keep_empty:
-        exploded = exploded.filter(F.col(name) != "")
-    return exploded.withColumn("pos", F.col("_pos") + 1).drop("_pos")
-
-
 def code_flags(pairs: DataFrame) -> DataFrame:
     """``ac_match``, ``rc_ord_match``, ``rc_and_match`` (0/1) per distinct row of ``pairs``.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from coursematch.functions.text import eq_blank_padded, like
 from coursematch.operators.joins import overlap_join
-from coursematch.operators.windows import lag_marker, lag_marker_chunked, running_cutoff, top1
+from coursematch.operators.windows import keep_shown, lag_marker, running_cutoff, top1
 from coursematch.plans.normalise import CRITERIA_PARTS, RAW_CRITERIA, criteria_parts
 
 REQ_KEYS = ["instidq", "instid", "instcd", "rname", "rqfyt"]
@@ -22,7 +22,6 @@ PAIR = ["pair_rqfyt", "pair_lyt"]
 # ---------------------------------------------------------------------------
 # Fixed values of the source query.
 # ---------------------------------------------------------------------------
-INSTITUTION = "ASU"
 LIST_RQTYPE = "L"
 LIST_MATCHCTL = "L"
 PSEUDO_MATCHCTL = ("$", "S", "P")
@@ -53,26 +52,74 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
+def of_institution(code: Column, institution: str | None) -> Column:
+    """Rows of one institution; trailing blanks do not count. None: of all."""
+    return F.lit(True) if institution is None else eq_blank_padded(code, institution)
+
+
 def requirement_pairs(req_main: DataFrame) -> DataFrame:
     """J3: distinct trimmed (rqfyt, lyt) pairs, as a DataFrame (never collected)."""
     return req_main.select(F.trim("rqfyt").alias("rqfyt"), F.trim("lyt").alias("lyt")).distinct()
 
 
-def _req_join_sub(rm: DataFrame, sr: DataFrame, rm_prefix: str, sr_prefix: str) -> list[Column]:
-    return [rm[rm_prefix + k] == sr[sr_prefix + k] for k in REQ_KEYS]
+def with_sub_requirements(rm: DataFrame, sr: DataFrame) -> DataFrame:
+    """Requirements (rm_) joined to their sub-requirements (sr_) on the five keys."""
+    return rm.join(sr, [rm["rm_" + k] == sr["sr_" + k] for k in REQ_KEYS], "inner")
+
+
+def with_course_rows(rows: DataFrame, sra: DataFrame) -> DataFrame:
+    """Sub-requirement rows left-joined to their course rows (sra_)."""
+    return rows.join(sra, rows["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left")
+
+
+def with_programs(rows: DataFrame, progs: DataFrame) -> DataFrame:
+    """Sub-requirement rows left-joined to their program row (dp_), without the excluded colleges."""
+    return rows.join(progs, [
+        F.trim("sr_instidq") == _c("dp_instidq"),
+        F.trim("sr_instid") == _c("dp_instid"),
+        F.trim("sr_instcd") == _c("dp_instcd"),
+        F.trim("sr_rname") == _c("dp_dprname"),
+        F.trim("sr_rqfyt") == F.trim("dp_dpfyt"),
+    ], "left").filter(_college_allowed(_c("dp_college")))
+
+
+def with_list_members(rows: DataFrame, lists: DataFrame) -> DataFrame:
+    """Course rows that name a list left-joined to its members (li_) of an overlapping time."""
+    return overlap_join(
+        rows, lists,
+        keys=[(F.trim("li_instidq"), F.trim("rm_instidq")),
+              (F.trim("li_instid"), F.trim("rm_instid")),
+              (F.trim("li_instcd"), F.trim("rm_instcd")),
+              (F.trim("li_rname"), F.trim("sra_course"))],
+        left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
+        right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
+        condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
+        how="left")
+
+
+def row_tests(ar_type: Column, matchctl: Column, crsflag: Column, course: Column) -> Column:
+    """Tests of one course row: accepted, no pseudo course, no flag, and a course or a passing mark."""
+    shape = ((like(course, F.lit("___ ___"))
+              & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
+             | course.rlike(r"^[A-Za-z]{3}\z")
+             | F.trim(matchctl).isin(*PASS_MATCHCTL))
+    return ((F.trim(ar_type) != REJECT_AR_TYPE)
+            & ~F.coalesce(matchctl, F.lit("")).isin(*PSEUDO_MATCHCTL)
+            & (F.trim(F.coalesce(crsflag, F.lit(""))) == "")
+            & shape)
 
 
-def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame) -> DataFrame:
+def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
+                 institution: str | None = None) -> DataFrame:
     """J4: members of every course list (a requirement of type 'L' of the institution)."""
-    rm = _prefixed(req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
+    rm = _prefixed(req_main.filter(of_institution(F.col("instcd"), institution)
                                    & (F.trim("rqtype") == LIST_RQTYPE)), "rm_")
     sr = _prefixed(sub_req, "sr_")
     sra = _prefixed(sub_req_ar, "sra_")
     # The inner join to list requirements only involves sub_req and req_main
     # columns, so it runs first: the course-row join then touches the
     # sub-requirements of lists only, not the whole table.
-    joined = (rm.join(sr, _req_join_sub(rm, sr, "rm_", "sr_"), "inner")
-                .join(sra, sr["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left"))
+    joined = with_course_rows(with_sub_requirements(rm, sr), sra)
     return joined.select(
         _c("rm_instidq").alias("instidq"), _c("rm_instid").alias("instid"),
         _c("rm_instcd").alias("instcd"), _c("rm_rname").alias("rname"),
@@ -83,7 +130,7 @@ def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame)
         _c("sra_matchctl").alias("matchctl"))
 
 
-def program_top1(dprog: DataFrame, dprog_req: DataFrame) -> DataFrame:
+def program_top1(dprog: DataFrame, dprog_req: DataFrame, institution: str | None = None) -> DataFrame:
     """Degree-program row per (program requirement name, first year): highest int_seq_no.
 
     Only programs of the institution and of the listed categories take part.
@@ -94,7 +141,7 @@ def program_top1(dprog: DataFrame, dprog_req: DataFrame) -> DataFrame:
     dr = _prefixed(dprog_req, "dr_")
     keys = ["instidq", "instid", "instcd", "dprog", "dpfyt"]
     joined = (dr.join(d, [dr["dr_" + k] == d["d_" + k] for k in keys], "inner")
-                .filter((F.trim("d_instcd") == INSTITUTION)
+                .filter(of_institution(F.trim("d_instcd"), institution)
                         & F.trim("dr_category").isin(*PROGRAM_CATEGORIES)))
     progs = joined.select(
         F.trim("dr_instidq").alias("instidq"), F.trim("dr_instid").alias("instid"),
@@ -118,7 +165,7 @@ def _college_allowed(college: Column) -> Column:
 def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
                  dprog: DataFrame, dprog_req: DataFrame,
                  pair: tuple[str, str] | None = None, raw_criteria: bool = True,
-                 method: str = "split") -> DataFrame:
+                 method: str = "split", institution: str | None = None) -> DataFrame:
     """J5: sub-requirement rule rows of every requirement pair, lists expanded.
 
     Returns ``PAIR + RULE_COLUMNS``. Steps, in the source's order of effect:
@@ -132,8 +179,10 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     run of the source does; course lists still come from every requirement.
 
     ``method="window"`` runs the cutoff and previous-row test as one window
-    over all rows; the default ``"split"`` gives the same rows without a
-    window over whole partitions (see below).
+    over whole partitions; the default ``"split"`` gives the same rows (for a
+    total order) from two passes over the joined rows: a narrow one that is
+    grouped by partition and chunk of course rows, and the wide one, left-joined
+    to the few chunks in which something is cut off or hidden.
 
     ``raw_criteria=False`` replaces the 18 raw criteria columns by their
     row-local criteria strings (``normalise.CRITERIA_PARTS``), computed on the
@@ -141,29 +190,19 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     """
     if method not in ("split", "window"):
         raise ValueError("method must be 'split' or 'window'")
-    req = req_main.filter(eq_blank_padded(F.col("instcd"), INSTITUTION)
+    req = req_main.filter(of_institution(F.col("instcd"), institution)
                           & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull())
     if pair is not None:
         req = req.filter((F.trim("rqfyt") == pair[0]) & (F.trim("lyt") == pair[1]))
-    rm = _prefixed(req, "rm_")
-    sr = _prefixed(sub_req, "sr_")
-    sra = _prefixed(sub_req_ar, "sra_")
-    lists = _prefixed(course_lists(req_main, sub_req, sub_req_ar), "li_")
-    progs = _prefixed(program_top1(dprog, dprog_req), "dp_")
-
-    base = (rm.join(sr, _req_join_sub(rm, sr, "rm_", "sr_"), "inner")
-              .withColumn("pair_rqfyt", F.trim("rm_rqfyt"))
-              .withColumn("pair_lyt", F.trim("rm_lyt")))
+    lists = _prefixed(course_lists(req_main, sub_req, sub_req_ar, institution), "li_")
+    progs = _prefixed(program_top1(dprog, dprog_req, institution), "dp_")
     # The program join and the college test depend on the sub-requirement only:
     # applying them before the course and list joins drops rows earlier.
-    base = base.join(progs, [
-        F.trim("sr_instidq") == _c("dp_instidq"),
-        F.trim("sr_instid") == _c("dp_instid"),
-        F.trim("sr_instcd") == _c("dp_instcd"),
-        F.trim("sr_rname") == _c("dp_dprname"),
-        F.trim("sr_rqfyt") == F.trim("dp_dpfyt"),
-    ], "left").filter(_college_allowed(_c("dp_college")))
-    base = base.join(sra, base["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left")
+    base = (with_sub_requirements(_prefixed(req, "rm_"), _prefixed(sub_req, "sr_"))
+            .withColumn("pair_rqfyt", F.trim("rm_rqfyt")).withColumn("pair_lyt", F.trim("rm_lyt")))
+    base = with_course_rows(with_programs(base, progs), _prefixed(sub_req_ar, "sra_"))
+    rows = with_list_members(base.withColumn("_seq2_int", _c("sra_user_seq_no").cast("int")), lists)
+
     raw = {"r_ac1": "rm_ac1", "r_ac2": "rm_ac2", "r_rc1": "rm_rc1", "r_rc2": "rm_rc2",
            "ac": "sra_ac", "rc": "sra_rc",
            **{c: f"sr_{c}" for c in ("ac1", "ac2", "ac3", "ac4", "ac5", "acor",
@@ -174,72 +213,25 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     course = (F.when(is_list, F.coalesce(F.trim("li_course"), F.lit("")))
                .otherwise(F.coalesce(F.trim("sra_course"), F.lit(""))))
     pseudo = eq_blank_padded(_c("sra_ar_type"), ACCEPT_AR_TYPE) & matchctl_coa.isin(*PSEUDO_MATCHCTL)
-    marked = F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK)
-
-    def with_lists(df: DataFrame, members: DataFrame = lists, how: str = "left") -> DataFrame:
-        return overlap_join(
-            df, members,
-            keys=[(F.trim("li_instidq"), F.trim("rm_instidq")),
-                  (F.trim("li_instid"), F.trim("rm_instid")),
-                  (F.trim("li_instcd"), F.trim("rm_instcd")),
-                  (F.trim("li_rname"), F.trim("sra_course"))],
-            left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
-            right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
-            condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
-            how=how)
-
-    # Non-list rows of a sub-requirement share one window partition (list
-    # columns NULL); each referenced list forms its own. Ties in the source's
-    # order are broken by the list's last year and the sub-requirement id.
-    # Key expressions are columns, so the two window functions share one
-    # exchange and one sort.
-    base = base.withColumn("_seq2_int", _c("sra_user_seq_no").cast("int"))
+    tests = row_tests(_c("sra_ar_type"), matchctl_coa, _c("sra_crsflag"), course)
+
+    # Non-list rows of a sub-requirement share one partition (list columns
+    # NULL); each referenced list forms its own. Ties in the source's order are
+    # broken by the list's last year and the sub-requirement id.
     partition = [*PAIR, "sr_rname", "sr_rqfyt", "li_rname", "li_rqfyt", "sr_user_seq_no"]
     order = ["_seq2_int", "li_seq1", "li_seq2", "li_lyt", "sr_int_seq_no"]
-
-    crsflag = F.coalesce(F.trim("sra_crsflag"), F.lit(""))
-    shape = ((like(course, F.lit("___ ___"))
-              & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
-             | course.rlike(r"^[A-Za-z]{3}\z")
-             | F.trim(matchctl_coa).isin(*PASS_MATCHCTL))
-    row_tests = ((F.trim("sra_ar_type") != REJECT_AR_TYPE)
-                 & ~F.coalesce(matchctl_coa, F.lit("")).isin(*PSEUDO_MATCHCTL)
-                 & ((F.trim(crsflag) == "") | crsflag.isNull())
-                 & shape)
-
-    def windowed(rows: DataFrame) -> DataFrame:
+    if method == "window":
         rows = running_cutoff(rows, partition, order, pseudo, "_cutoff")
         rows = lag_marker(rows, partition, order, "sra_matchctl", "_lag_m")
-        return rows.filter(row_tests & (F.col("_cutoff") == 0)
+        kept = rows.filter(tests & (F.col("_cutoff") == 0)
                            & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK))
-
-    if method == "window":
-        kept = windowed(with_lists(base))
     else:
-        # Cutoff: a row is kept iff it precedes its partition's first pseudo
-        # course, a grouped minimum over the (rare) pseudo-course rows that is
-        # left-joined back. Unlike a window partition, that join can be split
-        # by AQE when one partition key is hot (or the small side broadcast),
-        # and row tests reach the scans below it. The previous-row test can
-        # only fire in a sub-requirement group that has a '!' row
-        # (list-expanded rows carry the referencing row's 'L').
-        # In the marked groups the previous-row mark is computed for the
-        # non-list rows only (list rows carry 'L'), per chunk of the course-row
-        # number so that even one very large group spreads over tasks.
-        group = [*PAIR, "sr_rname", "sr_rqfyt", "sr_user_seq_no"]
-        marked_groups = base.filter(marked).select(*group).distinct()
-        firsts = _first_pseudo(base, lists, with_lists, partition, order, pseudo)
-        rows_a = with_lists(_semi(base, marked_groups, group, "left_semi"))
-        listed = F.col("li_rname").isNotNull() | F.col("li_rqfyt").isNotNull()
-        non_list = lag_marker_chunked(rows_a.filter(~listed), partition, order, "sra_matchctl", "_lag_m",
-                                      F.floor(F.col("_seq2_int") / LAG_CHUNK_ROWS))
-        rows_a = non_list.unionByName(rows_a.filter(listed).withColumn("_lag_m", F.lit(None).cast("string")))
-        a = (_before_first(rows_a, firsts, partition, order)
-             .filter(row_tests & ~F.coalesce(F.col("_lag_m"), F.lit("")).contains(HIDE_NEXT_MARK))
-             .drop("_lag_m"))
-        rest = with_lists(_semi(base, marked_groups, group, "left_anti"))
-        b = _before_first(rest, firsts, partition, order).filter(row_tests)
-        kept = a.unionByName(b)
+        # Rows of a list carry the mark of the row that names it, which is 'L':
+        # only non-list rows can hide the next one.
+        hides = (F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK)
+                 & _c("li_rname").isNull() & _c("li_rqfyt").isNull())
+        kept = keep_shown(rows, partition, order, F.floor(F.col("_seq2_int") / LAG_CHUNK_ROWS),
+                          ends=pseudo, hides_next=hides).filter(tests)
 
     # Output columns, built on the surviving rows only.
     if raw_criteria:
@@ -276,65 +268,3 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         *criteria,
     )
     return out.select(*PAIR, *out_columns)
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str], prefix: str):
-    r = right.select(*[F.col(c).alias(prefix + c) for c in cols])
-    cond = None
-    for c in cols:
-        t = left[c].eqNullSafe(r[prefix + c])
-        cond = t if cond is None else cond & t
-    return r, cond
-
-
-def _semi(df: DataFrame, keys: DataFrame, cols: list[str], how: str) -> DataFrame:
-    """``df`` rows whose ``cols`` are (left_semi) / are not (left_anti) in ``keys``, NULL = NULL."""
-    k, cond = _null_safe_on(df, keys, cols, "_k_")
-    return df.join(k, cond, how)
-
-
-def _order_key(cols: list[str]) -> Column:
-    """Ascending, NULLs-last order of ``cols`` as one comparable struct."""
-    fields = []
-    for i, c in enumerate(cols):
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
-def _first_pseudo(base: DataFrame, lists: DataFrame, with_lists, partition: list[str], order: list[str],
-                  pseudo: Column) -> DataFrame:
-    """First pseudo-course position per window partition (only partitions that have one).
-
-    Pseudo rows are found without the full list expansion: course rows marked
-    with a pseudo code directly, plus list references joined to the pseudo
-    members of their lists only. One grouped minimum (partial aggregation)
-    folds them per partition.
-    """
-    direct = (base.filter(~(F.trim("sra_matchctl") == LIST_MATCHCTL)
-                          | F.col("sra_matchctl").isNull())
-                  .withColumn("li_rname", F.lit(None).cast("string"))
-                  .withColumn("li_rqfyt", F.lit(None).cast("string"))
-                  .withColumn("li_rqtype", F.lit(None).cast("string"))
-                  .withColumn("li_matchctl", F.lit(None).cast("string"))
-                  .withColumn("li_seq1", F.lit(None).cast("int"))
-                  .withColumn("li_seq2", F.lit(None).cast("int"))
-                  .withColumn("li_lyt", F.lit(None).cast("string"))
-                  .filter(pseudo))
-    pseudo_members = lists.filter(F.coalesce(F.trim("li_matchctl"), F.lit("")).isin(*PSEUDO_MATCHCTL))
-    via_lists = with_lists(base.filter(F.trim("sra_matchctl") == LIST_MATCHCTL), pseudo_members,
-                           how="inner").filter(pseudo)
-    cols = [*partition, *order]
-    flagged = direct.select(*cols).unionByName(via_lists.select(*cols))
-    return flagged.groupBy(*partition).agg(F.min(_order_key(order)).alias("_first"))
-
-
-def _before_first(rows: DataFrame, firsts: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
-    """Rows strictly before their partition's first pseudo course (all rows when it has none)."""
-    f = firsts.select(*[F.col(c).alias("_f_" + c) for c in partition], "_first")
-    cond = None
-    for c in partition:
-        t = rows[c].eqNullSafe(f["_f_" + c])
-        cond = t if cond is None else cond & t
-    joined = rows.join(f, cond, "left")
-    return (joined.filter(F.col("_first").isNull() | (_order_key(order) < F.col("_first")))
-                  .drop("_first", *["_f_" + c for c in partition]))

@@ -8,28 +8,29 @@ generic operators also run directly on the driver's own tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursematch.config import MatchConfig
-from coursematch.functions.codes import CRITERIA_CODES, LEVEL_CODES, keep_if_in, no_spaces
 from coursematch.functions.text import term_code
 from coursematch.operators.explode import code_flags
 from coursematch.operators.joins import wildcard_join
 from coursematch.operators.versions import current_or_future, latest_version
-from coursematch.operators.windows import dedupe_by_key, lag_marker, running_cutoff
+from coursematch.operators.windows import before_first, dedupe_by_key, lag_marker_chunked
 from coursematch.plans import course_match as cm
 from coursematch.plans.crosswalk import courses_with_codes, expand_crosswalk
 from coursematch.plans.matching import (
     course_pattern, criteria_flags, criteria_pairs, level_condition, rule_item_match)
 from coursematch.plans.offered import offered_courses
+from coursematch.plans.normalise import SUB_ACCEPT_COLUMNS, accept_alternatives, level_marks
 from coursematch.plans.rules import (
-    PAIR, REQ_KEYS, _college_allowed, _prefixed, course_lists, expand_rules, program_top1,
-    requirement_pairs)
-from coursematch.sources.derive import domain
+    PAIR, _prefixed, course_lists, expand_rules, of_institution, program_top1, requirement_pairs,
+    row_tests, with_course_rows, with_list_members, with_programs, with_sub_requirements)
+from coursematch.sources.derive import AS_OF, INSTITUTION, domain
 
-CFG = MatchConfig()
+CFG = MatchConfig(as_of=date.fromisoformat(AS_OF), institution=INSTITUTION)
 # The pair bound by named parameters in ``param_slice`` (the source runs its
 # rule query once per pair with exactly this binding).
 SLICE_PAIR = {"rqfyt": "19957", "lyt": "19954"}
@@ -46,7 +47,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> cm.Inputs:
 
 
 def _rules(spark, sf_dir):
-    return cm.rules(inputs(spark, sf_dir))
+    return cm.rules(inputs(spark, sf_dir), CFG)
 
 
 def _courses(spark, sf_dir):
@@ -61,7 +62,7 @@ def q_requirement_pairs(spark, sf_dir):
 
 def q_param_slice(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    rules = expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req)
+    rules = expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, institution=INSTITUTION)
     # Named parameter markers; Catalyst pushes the pair test down to req_main.
     return spark.sql("SELECT * FROM {rules} WHERE pair_rqfyt = :rqfyt AND pair_lyt = :lyt",
                      args=SLICE_PAIR, rules=rules).drop(*PAIR)
@@ -79,20 +80,18 @@ def q_latest_version(spark, sf_dir):
 def q_current_or_future(spark, sf_dir):
     orders = domain(spark, sf_dir)["orders"].select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("effdt"))
-    return current_or_future(orders, ["o_custkey"], CFG.as_of)
+    return current_or_future(orders, ["o_custkey"], CFG.day())
 
 
 def q_offered_items(spark, sf_dir):
     d = domain(spark, sf_dir)
-    return offered_courses(d["ps_crse_offer"], d["ps_crse_catalog"], CFG.as_of)
+    return offered_courses(d["ps_crse_offer"], d["ps_crse_catalog"], CFG.day())
 
 
 # --- joins ------------------------------------------------------------------
 
 def _req_sub(d):
-    rm = _prefixed(d["req_main"], "rm_")
-    sr = _prefixed(d["sub_req"], "sr_")
-    return rm.join(sr, [rm["rm_" + k] == sr["sr_" + k] for k in REQ_KEYS], "inner")
+    return with_sub_requirements(_prefixed(d["req_main"], "rm_"), _prefixed(d["sub_req"], "sr_"))
 
 
 def q_inner_composite_join(spark, sf_dir):
@@ -112,23 +111,14 @@ def q_left_join_detail(spark, sf_dir):
 
 def q_course_lists(spark, sf_dir):
     d = domain(spark, sf_dir)
-    return course_lists(d["req_main"], d["sub_req"], d["sub_req_ar"])
+    return course_lists(d["req_main"], d["sub_req"], d["sub_req_ar"], INSTITUTION)
 
 
 def q_overlap_join(spark, sf_dir):
-    from coursematch.operators.joins import overlap_join
     d = domain(spark, sf_dir)
-    base = _req_sub(d).filter(F.rtrim("rm_instcd") == "ASU")
-    sra = _prefixed(d["sub_req_ar"], "sra_")
-    base = base.join(sra, base["sr_int_seq_no"] == sra["sra_sub_int_seq_no"], "left")
-    lists = _prefixed(course_lists(d["req_main"], d["sub_req"], d["sub_req_ar"]), "li_")
-    j = overlap_join(
-        base, lists,
-        keys=[(F.trim("li_instidq"), F.trim("rm_instidq")), (F.trim("li_instid"), F.trim("rm_instid")),
-              (F.trim("li_instcd"), F.trim("rm_instcd")), (F.trim("li_rname"), F.trim("sra_course"))],
-        left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
-        right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
-        condition=F.trim("sra_matchctl") == "L", how="left")
+    base = _req_sub(d).filter(of_institution(F.col("rm_instcd"), INSTITUTION))
+    lists = _prefixed(course_lists(d["req_main"], d["sub_req"], d["sub_req_ar"], INSTITUTION), "li_")
+    j = with_list_members(with_course_rows(base, _prefixed(d["sub_req_ar"], "sra_")), lists)
     return j.select(F.col("rm_rname").alias("rname"), F.col("rm_lyt").alias("lyt"),
                     F.col("sr_user_seq_no").alias("seq1"), F.col("sra_user_seq_no").alias("seq2"),
                     F.col("sra_course").alias("course"), F.col("li_rqfyt").alias("rqfyt2"),
@@ -138,12 +128,8 @@ def q_overlap_join(spark, sf_dir):
 
 def q_program_top1(spark, sf_dir):
     d = domain(spark, sf_dir)
-    base = _req_sub(d).filter(F.rtrim("rm_instcd") == "ASU")
-    progs = _prefixed(program_top1(d["dprog"], d["dprog_req"]), "dp_")
-    j = base.join(progs, [F.trim("sr_instidq") == F.col("dp_instidq"), F.trim("sr_instid") == F.col("dp_instid"),
-                          F.trim("sr_instcd") == F.col("dp_instcd"), F.trim("sr_rname") == F.col("dp_dprname"),
-                          F.trim("sr_rqfyt") == F.trim("dp_dpfyt")], "left")
-    j = j.filter(_college_allowed(F.col("dp_college")))
+    base = _req_sub(d).filter(of_institution(F.col("rm_instcd"), INSTITUTION))
+    j = with_programs(base, _prefixed(program_top1(d["dprog"], d["dprog_req"], INSTITUTION), "dp_"))
     return j.select(F.col("rm_lyt").alias("lyt"), F.col("sr_rname").alias("rname"),
                     F.col("sr_int_seq_no").alias("int_seq_no"), F.col("dp_college").alias("college"),
                     F.col("dp_category").alias("category"))
@@ -154,13 +140,13 @@ def q_program_top1(spark, sf_dir):
 def q_running_cutoff(spark, sf_dir):
     ev = domain(spark, sf_dir)["events"].select("event_id", "user_id", "ts", "event_type", "value")
     flag = (F.col("event_type") == CUTOFF_EVENT) & (F.col("value") > CUTOFF_VALUE)
-    out = running_cutoff(ev, ["user_id"], ["ts", "event_id"], flag, "cutoff")
-    return out.filter(F.col("cutoff") == 0).select("event_id", "user_id", "event_type")
+    return before_first(ev, ["user_id"], ["ts", "event_id"], flag).select("event_id", "user_id", "event_type")
 
 
 def q_lag_marker(spark, sf_dir):
     ev = domain(spark, sf_dir)["events"].select("event_id", "user_id", "ts", "event_type")
-    out = lag_marker(ev, ["user_id"], ["ts", "event_id"], "event_type", "prev_type")
+    # a user's events are spread over their days
+    out = lag_marker_chunked(ev, ["user_id"], ["ts", "event_id"], "event_type", "prev_type", F.date_trunc("day", "ts"))
     return (out.filter(F.coalesce(F.col("prev_type"), F.lit("")) != LAG_EVENT)
                .select("event_id", "user_id", "event_type", "prev_type"))
 
@@ -178,13 +164,7 @@ def q_dedupe_by_key(spark, sf_dir):
 def q_rule_filters(spark, sf_dir):
     sra = domain(spark, sf_dir)["sub_req_ar"]
     course = F.trim("course")
-    shape = ((course.like("___ ___") & (course.rlike(r"[0-9]{3}\z") | course.contains("*")))
-             | course.rlike(r"^[A-Za-z]{3}\z")
-             | F.trim("matchctl").isin("L", "N"))
-    kept = sra.filter((F.trim("ar_type") != "R")
-                      & ~F.coalesce(F.col("matchctl"), F.lit("")).isin("$", "S", "P")
-                      & (F.coalesce(F.trim("crsflag"), F.lit("")) == "")
-                      & shape)
+    kept = sra.filter(row_tests(F.col("ar_type"), F.col("matchctl"), F.col("crsflag"), course))
     return kept.select("sub_int_seq_no", "user_seq_no", course.alias("course"), "matchctl")
 
 
@@ -196,13 +176,8 @@ def q_term_code(spark, sf_dir):
 
 def q_or_explode(spark, sf_dir):
     sr = domain(spark, sf_dir)["sub_req"]
-    sub_ac = F.concat(*[keep_if_in(no_spaces(F.col(c)), CRITERIA_CODES)
-                        for c in ("ac1", "ac2", "ac3", "ac4", "ac5")])
-    acor = F.coalesce(F.col("acor"), F.lit(""))
-    rows = F.when(acor.contains("-"), F.split(sub_ac, "")).otherwise(F.array(sub_ac))
-    levels = F.concat(*[keep_if_in(no_spaces(F.col(c)), LEVEL_CODES)
-                        for c in ("ac1", "ac2", "ac3", "ac4", "ac5")])
-    return sr.select("int_seq_no", acor.alias("acor"), levels.alias("levels"), F.explode(rows).alias("ac_5"))
+    return sr.select("int_seq_no", F.coalesce(F.col("acor"), F.lit("")).alias("acor"),
+                     level_marks(F.col, SUB_ACCEPT_COLUMNS).alias("levels"), F.explode(accept_alternatives(F.col)).alias("ac_5"))
 
 
 # --- crosswalk ----------------------------------------------------------------
@@ -219,7 +194,7 @@ def q_crosswalk_join(spark, sf_dir):
 
 def q_rules_expanded(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    return expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req)
+    return expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, institution=INSTITUTION)
 
 
 def q_criteria_normalise(spark, sf_dir):

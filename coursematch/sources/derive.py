@@ -25,6 +25,10 @@ def _union_all(select: str, column: str, values) -> str:
 
 
 # name -> (SQL template, inputs). Inputs are base tables or earlier views.
+#: The institution and the day of the derived test data.
+INSTITUTION = "UNI"
+AS_OF = "1998-06-01"
+
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "d_item": ("""
 SELECT
@@ -72,7 +76,7 @@ FROM {part}""", ("part",)),
 SELECT
   'Q' AS instidq,
   'I' AS instid,
-  CASE WHEN c_custkey % 50 = 49 THEN 'XX' ELSE 'ASU' END AS instcd,
+  CASE WHEN c_custkey % 50 = 49 THEN 'XX' ELSE 'UNI' END AS instcd,
   'R' || cast(c_custkey AS string) || ' ' AS rname,
   cast(1995 + c_custkey % 6 AS string) || '7' AS rqfyt,
   cast(1995 + c_custkey % 6 + c_custkey % 4 + 2 * k AS string) || '4' AS lyt,
@@ -92,7 +96,7 @@ FROM (
 SELECT
   'Q' AS instidq,
   'I' AS instid,
-  CASE WHEN o_custkey % 50 = 49 THEN 'XX' ELSE 'ASU' END AS instcd,
+  CASE WHEN o_custkey % 50 = 49 THEN 'XX' ELSE 'UNI' END AS instcd,
   'R' || cast(o_custkey AS string) || ' ' AS rname,
   cast(1995 + o_custkey % 6 AS string) || '7' AS rqfyt,
   o_orderkey AS int_seq_no,
@@ -126,6 +130,9 @@ SELECT
        WHEN l.l_linenumber <= 2 THEN i.subject || ' ' || i.catalog_nbr
        WHEN l.l_linenumber = 3 THEN i.subject
        WHEN l.l_linenumber = 4 THEN i.subject || ' ***'
+       WHEN l.l_linenumber = 5 AND l.l_orderkey % 997 = 1 THEN '*** ***'
+       WHEN l.l_linenumber = 5 AND l.l_suppkey % 11 = 0 THEN '*' || substr(i.subject, 2, 2) || ' ' || i.catalog_nbr
+       WHEN l.l_linenumber = 5 AND l.l_suppkey % 11 = 1 THEN '**' || substr(i.subject, 3, 1) || ' 1**'
        WHEN l.l_linenumber = 5 THEN i.subject || ' ' || cast(1 + i.p_size % 6 AS string) || '**'
        ELSE 'PSEUDO' END AS course,
   CASE WHEN l.l_suppkey % 7 = 0 THEN 'T' END AS tflg,
@@ -146,7 +153,7 @@ FROM {lineitem} l JOIN {d_item} i ON l.l_partkey = i.p_partkey""", ("lineitem",
 SELECT
   'Q' AS instidq,
   'I' AS instid,
-  'ASU' AS instcd,
+  'UNI' AS instcd,
   'P' || cast(n_nationkey AS string) AS dprog,
   cast(1995 + y AS string) || '7' AS dpfyt,
   CASE WHEN n_nationkey % 8 = 0 THEN 'Mapp x'
@@ -161,7 +168,7 @@ FROM (
 SELECT
   'Q' AS instidq,
   'I' AS instid,
-  'ASU' AS instcd,
+  'UNI' AS instcd,
   'P' || cast(c_nationkey AS string) AS dprog,
   cast(1995 + c_custkey % 6 AS string) || '7' AS dpfyt,
   'R' || cast(c_custkey AS string) AS dprname,
@@ -192,55 +199,40 @@ def _closure(names) -> list[str]:
 
 
 class Domain:
-    """The base and derived tables of one data folder.
+    """The base and derived tables of one data folder, as views: reading one starts no job.
 
-    Derived tables are written once per session as parquet under the
-    session's checkpoint folder (``spark.checkpoint.dir``) and read back, so
-    every query scans them like the source tables they stand for, with
-    column pruning and filter pushdown, instead of re-deriving them.
-    ``materialize=False`` keeps them as views.
+    ``load`` writes derived tables once as parquet under the session's
+    checkpoint folder; from then on they are scanned like source tables.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool | None = None):
-        from coursematch.config import has_checkpoint_dir, is_local
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        if materialize is None:
-            # Stored only where a shared checkpoint folder exists (or in local mode).
-            materialize = has_checkpoint_dir(spark) or is_local(spark)
-        self.materialize = materialize
         self._frames: dict[str, DataFrame] = {}
-        self._folder: str | None = None
         self._lock = threading.RLock()
 
-    def _target(self, name: str) -> str:
-        if self._folder is None:
-            from coursematch.config import checkpoint_dir
-            self._folder = f"{checkpoint_dir(self.spark).rstrip('/')}/domain-{uuid.uuid4().hex}"
-        return f"{self._folder}/{name}"
-
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock:
-            return self._get(name)
-
-    def _get(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            if name in BASE_TABLES:
-                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            else:
-                text, deps = VIEWS[name]
-                df = self.spark.sql(text, **{d: self[d] for d in deps})
-                if self.materialize:
-                    target = self._target(name)
-                    df.write.mode("overwrite").parquet(target)
-                    df = self.spark.read.parquet(target)
-            self._frames[name] = df
-        return self._frames[name]
+            if name not in self._frames:
+                if name in BASE_TABLES:
+                    df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                else:
+                    text, deps = VIEWS[name]
+                    df = self.spark.sql(text, **{d: self[d] for d in deps})
+                self._frames[name] = df
+            return self._frames[name]
 
     def load(self, *names: str) -> "Domain":
-        """Build the named tables now (all derived tables by default)."""
-        for n in names or VIEWS:
-            self[n]
+        """Store the named derived tables (default: all), inputs first."""
+        from coursematch.config import checkpoint_dir
+        folder = f"{checkpoint_dir(self.spark).rstrip('/')}/domain-{uuid.uuid4().hex}"
+        with self._lock:
+            for n in _closure(names or VIEWS):
+                self[n].write.mode("overwrite").parquet(f"{folder}/{n}")
+                self._frames[n] = self.spark.read.parquet(f"{folder}/{n}")
+                for other, (_, deps) in VIEWS.items():
+                    if n in deps:
+                        self._frames.pop(other, None)
         return self
 
 

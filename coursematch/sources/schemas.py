@@ -30,15 +30,6 @@ SUB_REQ_AR = _schema(("sub_int_seq_no", LongType()), ("user_seq_no", I),
 DPROG_REQ = _schema(("instidq", S), ("instid", S), ("instcd", S), ("dpfyt", S), ("dprname", S),
                     ("dprog", S), ("category", S), ("int_seq_no", LongType()))
 DPROG = _schema(*[(c, S) for c in ("instidq", "instid", "instcd", "dprog", "dpfyt", "college")])
-# The crosswalk file as published: designation header 'PS' or 'PS Requirement
-# Designation', expression header 'DARS Subreq AC1-AC5'.
-CROSSWALK = _schema(("designation", S), ("expr", S))
-
-RESULT = _schema(("rname", S), ("subreq_id", S), ("rqfyt", S), ("lyt", S), ("rqfyt2", S), ("lyt2", S),
-                 ("seq1", I), ("seq2", I), ("seq3", I), ("rtitle1", S), ("full_crse", S), ("crse_id", S),
-                 ("units_minimum", N), ("units_maximum", N), ("tflg", S), ("ctitle", S), ("matchctl", S),
-                 ("grp", S), ("grpmin", N), ("grpmax", N), ("hcmin", N), ("hcmax", N))
-
 TABLES = {
     "ps_crse_offer": PS_CRSE_OFFER,
     "ps_crse_catalog": PS_CRSE_CATALOG,

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from coursematch.config import MatchConfig, checkpoint_dir
 from coursematch.plans import course_match as cm
@@ -24,24 +29,31 @@ CSV_OPTIONS = {
 }
 
 
-def write_result(result: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_result(result: DataFrame, path: str, replace: str = "all") -> None:
     """Write the result partitioned by pair (``pair_rqfyt=…/pair_lyt=…/part-*.csv.gz``).
 
     Rows are range-partitioned on (pair, rname, seq1) first: each writer task
     covers one contiguous range, so a pair gets few files, and a pair holding
     a large share of the rows is spread over several writers instead of one.
-    Overwrite is dynamic: only the pairs present in ``result`` are replaced,
-    so a re-run for some pairs leaves the others in place.
+    ``replace="all"`` leaves nothing of an earlier run; ``"pairs"`` replaces
+    only the pairs present in ``result`` (a run for named pairs).
     """
-    spark = result.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if replace not in ("all", "pairs"):
+        raise ValueError("replace must be 'all' or 'pairs'")
     order = [c for c in (*PAIR, "rname", "seq1") if c in result.columns]
-    (result.repartitionByRange(*order)
-           .write.mode(mode).partitionBy(*PAIR).options(**CSV_OPTIONS).csv(path))
+    (result.repartitionByRange(*order).write.mode("overwrite")
+           .option("partitionOverwriteMode", "static" if replace == "all" else "dynamic")
+           .partitionBy(*PAIR).options(**CSV_OPTIONS).csv(path))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written result, with the types it had."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).select([f.name for f in schema.fields])
+
+
+@contextmanager
+def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written as parquet under the shared checkpoint folder and read back; deleted afterwards.
 
     This cuts the lineage: a lost executor recomputes later stages from the
     written files instead of from the source tables. The folder is the
@@ -50,17 +62,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     target = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    try:
+        df.write.mode("overwrite").parquet(target)
+        yield spark.read.parquet(target)
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def run_and_write(inputs: cm.Inputs, path: str, cfg: MatchConfig = MatchConfig()) -> DataFrame:
-    """The whole job: rules (materialised), courses, matching, CSV per pair.
+    """The whole job: rules (stored while it runs), courses, matching, CSV per pair.
 
-    Returns the written result as read back from the rules checkpoint plan
-    (lazy, for inspection).
+    Returns the written result, read from ``path``. With ``cfg.pairs`` only
+    those pairs are computed and replaced.
     """
-    rules = materialize(cm.rules(inputs, cfg), "rules")
-    result = cm.course_match(inputs, cfg, rules_df=rules)
-    write_result(result, path)
-    return result
+    cfg = replace(cfg, as_of=cfg.day())
+    wanted = cm.rules(inputs, cfg)
+    if cfg.pairs is not None:
+        test = F.lit(False)
+        for first, last in cfg.pairs:
+            test = test | ((F.col(PAIR[0]) == first) & (F.col(PAIR[1]) == last))
+        wanted = wanted.filter(test)
+    with materialized(wanted, "rules") as rules:
+        result = cm.course_match(inputs, cfg, rules_df=rules)
+        write_result(result, path, "all" if cfg.pairs is None else "pairs")
+        schema = result.schema
+    return read_result(inputs.req_main.sparkSession, path, schema)

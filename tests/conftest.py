@@ -35,3 +35,9 @@ def rows(df, *cols):
     cols = cols or df.columns
     out = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
     return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))
+
+
+def normalise_criteria(rules):
+    """Rule rows with raw criteria columns to criteria strings and term codes, as a run does in two steps."""
+    from coursematch.plans.normalise import RAW_CRITERIA, criteria_parts, finish_criteria
+    return finish_criteria(rules.select("*", *criteria_parts()).drop(*RAW_CRITERIA))

@@ -10,7 +10,7 @@ from coursematch.functions import criteria as crit
 from coursematch.operators.joins import overlap_join, wildcard_join
 from coursematch.plans.crosswalk import expand_crosswalk
 from coursematch.plans.matching import course_pattern, level_condition, rule_item_match
-from coursematch.plans.normalise import normalise_criteria
+from conftest import normalise_criteria
 from coursematch.plans.offered import offered_courses
 from coursematch.plans.rules import RULE_COLUMNS, expand_rules
 
@@ -142,11 +142,11 @@ def test_effective_dating_golden(spark):
 
 def _one_subreq(spark, sra_rows):
     req_main = spark.createDataFrame(
-        [("Q", "I", "ASU", "R1", "20187", "20194", "T", "M", None, None, None, None)],
+        [("Q", "I", "UNI", "R1", "20187", "20194", "T", "M", None, None, None, None)],
         "instidq string, instid string, instcd string, rname string, rqfyt string, lyt string, "
         "rtitle1 string, rqtype string, ac1 string, ac2 string, rc1 string, rc2 string")
     sub_req = spark.createDataFrame(
-        [("Q", "I", "ASU", "R1", "20187", 10, 1, "C", 1, 2, 3, 6) + (None,) * 12],
+        [("Q", "I", "UNI", "R1", "20187", 10, 1, "C", 1, 2, 3, 6) + (None,) * 12],
         "instidq string, instid string, instcd string, rname string, rqfyt string, int_seq_no long, "
         "user_seq_no int, grp string, grpmin int, grpmax int, hcmin int, hcmax int, ac1 string, "
         "ac2 string, ac3 string, ac4 string, ac5 string, acor string, rc1 string, rc2 string, "

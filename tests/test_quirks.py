@@ -20,11 +20,11 @@ DPROG_REQ = ("instidq string, instid string, instcd string, dpfyt string, dprnam
 
 
 def _rm(name, rqtype="M", instid="I"):
-    return ("Q", instid, "ASU", name, "20187", "20194", "T", rqtype, None, None, None, None)
+    return ("Q", instid, "UNI", name, "20187", "20194", "T", rqtype, None, None, None, None)
 
 
 def _sr(name, seq_no, instid="I"):
-    return ("Q", instid, "ASU", name, "20187", seq_no, 1, "C", 1, 2, 3, 6) + (None,) * 12
+    return ("Q", instid, "UNI", name, "20187", seq_no, 1, "C", 1, 2, 3, 6) + (None,) * 12
 
 
 def _sra(sub, seq, course, matchctl=None, ar="A"):
@@ -58,8 +58,8 @@ def test_unmatched_list_reference_keeps_its_name(spark):
 def test_program_top_row_ignores_institution(spark):
     # Q22: the top program row per (name, year) may belong to another institution;
     # then no program joins and the college exclusion cannot apply.
-    dprog = [("Q", "I", "ASU", "P1", "20187", "MAPP x"), ("Q", "J", "ASU", "P1", "20187", "C1")]
-    dprog_req = [("Q", "I", "ASU", "20187", "R1", "P1", "A", 1), ("Q", "J", "ASU", "20187", "R1", "P1", "A", 2)]
+    dprog = [("Q", "I", "UNI", "P1", "20187", "MAPP x"), ("Q", "J", "UNI", "P1", "20187", "C1")]
+    dprog_req = [("Q", "I", "UNI", "20187", "R1", "P1", "A", 1), ("Q", "J", "UNI", "20187", "R1", "P1", "A", 2)]
     out = _rules(spark, [_rm("R1")], [_sr("R1", 10)], [_sra(10, 1, "MAT 117")], dprog, dprog_req)
     assert rows(out, "rname", "college") == [("R1", None)]
     # Without the foreign row the MAPP program joins and excludes the rule.
@@ -76,7 +76,7 @@ def test_three_character_course_is_a_subject(spark):
 
 def test_acor_contains_but_rcand_equals(spark):
     # Q18: acor is tested with contains '-', rcand with equality to '-'.
-    from coursematch.plans.normalise import normalise_criteria
+    from conftest import normalise_criteria
     from test_golden import _rule, _rules_df
     df = _rules_df(spark, [_rule(subreq_id="h", ac1="H", ac2="c", acor="x-y"),
                            _rule(subreq_id="i", rc1="t", rcand=" -")])

@@ -6,11 +6,12 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from coursematch.plans.rules import PAIR
-from coursematch.sources.readers import read_crosswalk_csv
-from coursematch.sources.sinks import materialize, write_result
+from coursematch.sources.readers import CROSSWALK_EXPR_HEADER, read_crosswalk_csv
+from coursematch.sources.sinks import materialized, read_result, write_result
 
 
 def test_write_result_csv_per_pair(spark, tmp_path):
@@ -31,13 +32,49 @@ def test_write_result_csv_per_pair(spark, tmp_path):
     assert second[1] == 'R2,x,b,"c,d",e'
 
 
-def test_materialize_uses_the_session_checkpoint_folder(spark):
-    df = spark.range(5)
-    back = materialize(df, "t")
-    assert back.count() == 5
+def test_stored_table_goes_after_use(spark):
+    with materialized(spark.range(5), "t") as back:
+        folder = back.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert back.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
+def test_a_second_run_leaves_nothing_of_the_first(spark, tmp_path):
+    schema = "pair_rqfyt string, pair_lyt string, rname string, seq1 int"
+    both = spark.createDataFrame([("19957", "19954", "R1", 1), ("19957", "19974", "R2", 2)], schema)
+    one = both.filter("rname = 'R1'").withColumn("seq1", F.lit(7))
+    out, before = str(tmp_path / "r"), spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    write_result(both, out)
+    write_result(one, out, replace="pairs")         # the other pair stays
+    assert sorted(tuple(r) for r in read_result(spark, out, both.schema).collect()) == [("19957", "19954", "R1", 7), ("19957", "19974", "R2", 2)]
+    write_result(one, out)
+    assert [tuple(r) for r in read_result(spark, out, both.schema).collect()] == [("19957", "19954", "R1", 7)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_job_from_files_to_csv(spark, tmp_path):
+    from coursematch import job
+    from coursematch.config import MatchConfig
+    from coursematch.queries import CFG, inputs, q_course_match
+    source = inputs(spark, SF_SMALL)
+    for name in job.TABLES:
+        getattr(source, name).write.parquet(str(tmp_path / name))
+    source.crosswalk_raw.withColumnsRenamed({"designation": "PS", "expr": CROSSWALK_EXPR_HEADER}).coalesce(1).write.option("header", True).csv(str(tmp_path / "cw"))
+    cfg = MatchConfig(as_of=CFG.as_of, institution=CFG.institution, source=str(tmp_path), crosswalk=str(tmp_path / "cw"), output=str(tmp_path / "out"))
+    back = job.run(spark, cfg)
+    want = q_course_match(spark, SF_SMALL)
+    assert back.columns == want.columns and back.count() == want.count() > 0
+    assert glob.glob(f"{tmp_path}/out/pair_rqfyt=*/pair_lyt=*/*.csv.gz")
+
+
+def test_default_day_is_today():
+    from datetime import date
+
+    from coursematch.config import MatchConfig
+    assert MatchConfig().day() == date.today() and MatchConfig(as_of=date(2020, 1, 2)).day() == date(2020, 1, 2)
+
+
 @pytest.mark.parametrize("header", ["PS Requirement Designation", "PS"])
 def test_crosswalk_csv_reader(spark, tmp_path, header):
     p = tmp_path / "cw.csv"
@@ -53,19 +90,15 @@ def test_entry_runs(spark):
     assert df.columns[:2] == PAIR and len(df.columns) == 24
 
 
-CHEAP = ["requirement_pairs", "latest_version", "current_or_future", "offered_items", "course_lists",
-         "program_top1", "running_cutoff", "lag_marker", "dedupe_by_key", "rule_filters", "term_code",
-         "or_explode", "crosswalk_expand", "crosswalk_join", "rules_expanded", "course_match"]
-
-
 def test_oracle_agrees_on_small_tables(spark):
     import __spark_entry__ as e
     from collections import Counter
+    from coursematch.queries import QUERIES
     qs, sql = e.queries(), e.oracle_sql()
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t + '.parquet')}')")
-    for name in CHEAP:
+    for name in QUERIES:
         df = qs[name](spark, SF_SMALL)
         res = con.execute(sql[name])
         ocols = [d[0] for d in res.description]
@@ -77,10 +110,10 @@ def test_oracle_agrees_on_small_tables(spark):
 
 
 def test_run_and_write_end_to_end(spark, tmp_path):
-    from coursematch.queries import inputs, q_course_match
+    from coursematch.queries import CFG, inputs, q_course_match
     from coursematch.sources.sinks import run_and_write
     out = str(tmp_path / "job")
-    run_and_write(inputs(spark, SF_SMALL), out)
+    run_and_write(inputs(spark, SF_SMALL), out, CFG)
     back = (spark.read.option("header", True).option("inferSchema", False).csv(out)
                  .select("pair_rqfyt", "pair_lyt", "rname", "seq1", "seq2", "full_crse"))
     expected = q_course_match(spark, SF_SMALL).selectExpr(
