@@ -14,10 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursematch.llm.common import LOWER, SPACE, slices, words
+from coursematch.llm.common import LOWER, SPACE, Store, slices, words
 
 SAMPLE = 8000           # labelled documents that the field is fitted on, at most
 SAMPLE_LINES = 5000     # longer labelled documents are left out of the fit
+FIT_LINES = 500_000     # lines that the field is fitted on, at most
 _B = np.arange(256)
 _UP, _LOW, _DIGIT = (_B >= 65) & (_B <= 90), (_B >= 97) & (_B <= 122), (_B >= 48) & (_B <= 57)
 _END = np.isin(_B, [ord(c) for c in ".!?"])
@@ -144,19 +145,26 @@ def _sampled(batches):
         x, _, first = features(data, offs)
         keep = [i for i in range(len(rows)) if first[i + 1] - first[i] <= SAMPLE_LINES]
         yield pa.RecordBatch.from_arrays([
-            rows.column(0).take(pa.array(keep, pa.int64())), rows.column(2).take(pa.array(keep, pa.int64())),
-            pa.array([x[first[i]: first[i + 1]].astype(np.float32).tobytes() for i in keep], pa.binary())], ["doc_id", "quality", "x"])
+            rows.column(0).take(pa.array(keep, pa.int64())), rows.column(2).take(pa.array(keep, pa.int64())), pa.array(np.diff(first)[keep]),
+            pa.array([x[first[i]: first[i + 1]].astype(np.float32).tobytes() for i in keep], pa.binary())], ["doc_id", "quality", "lines", "x"])
 
 
-def train(documents: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict:
+def train(documents: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE, fit_lines: int = FIT_LINES) -> dict:
     """The field, from at most ``sample`` labelled documents whose crc32(doc_id) mod 3 is not 1 (those with the
-    smallest hashes of their doc_id). Labels other than 0 and 1 are left out; a doc_id with two labels has the
-    smaller one. Without both labels the model is their share, or 0.5."""
+    smallest hashes of their doc_id), and of these the first that have at most ``fit_lines`` lines together.
+    Labels other than 0 and 1 are left out; a doc_id with two labels has the smaller one, and of several rows of a
+    doc_id one counts. Without both labels the model is their share, or 0.5."""
+    store = Store(documents.sparkSession, "crf")
     known = (labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
-            .select("doc_id", "text", "quality").mapInArrow(_sampled, "doc_id long, quality int, x binary").toPandas())
+    found = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
+             .select("doc_id", "text", "quality").mapInArrow(_sampled, "doc_id long, quality int, lines long, x binary"))
+    found = store.put(found.groupBy("doc_id").agg(F.min(F.struct("quality", "lines", "x")).alias("r")).select("doc_id", "r.*"), "lines")
+    sizes = found.select(F.xxhash64("doc_id").alias("h"), "lines").toPandas().sort_values("h")      # at most ``sample`` rows
+    within = sizes.h[sizes.lines.cumsum() <= fit_lines]
+    rows = found.where(F.xxhash64("doc_id") <= (int(within.max()) if len(within) else -(1 << 63))).select("doc_id", "quality", "x").toPandas()
+    store.drop(found)
     if rows.quality.nunique() < 2:
         return {"prior": float(rows.quality.mean()) if len(rows) else 0.5}
     rows = rows.sort_values("doc_id", kind="stable")
