@@ -249,6 +249,17 @@ def test_line_field_learns(spark):
     assert len(held) > 30 and all((r.score >= 0.5) == (r.q == 1) for r in held)
 
 
+def test_line_field_takes_bounded_lines(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(crf, "fit", lambda x, first, label: taken.append((len(x), len(label))) or {})
+    df = spark.createDataFrame([(i % 60, "a\nb\nc", i % 2) for i in range(90)] + [(100, "x\n" * 6000, 0)], "doc_id long, text string, quality int")
+    n = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60))
+    crf.train(df, df)
+    crf.train(df, df, fit_lines=31)
+    assert taken == [(3 * n, n), (30, 10)]
+    assert crf.train(df, df, fit_lines=2) == {"prior": 0.5}
+
+
 def test_forward_backward():
     rng = np.random.default_rng(0)
     first, odds, step = np.array([0, 1, 4, 9]), rng.standard_normal(9), rng.standard_normal((2, 2))
@@ -307,9 +318,12 @@ def test_kd_tree_sizes(spark):
 def test_license_scan(spark, docs, empty):
     texts = ["All rights reserved. Licensed under CC BY-NC 4.0.", "cc by cc by\ncc", "the GNU General  Public\nLicense", "general publiç license", "",
              "Permission is hereby granted, free of charge, to any and every person obtaining a copy of this software", None, "all rights, reserved rights reserved", "Released under the MIT License."]
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(0, texts[0], "x"), (None, "cc by", "")], "doc_id long, text string, label string")
-    got = {r.doc_id: r for r in licenses.scan(df).collect()}
-    assert len(got) == 10
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)] + [(0, texts[0], "x"), (None, "cc by", ""), (None, "all rights", ""), (None, "x rights reserved", "")], "doc_id long, text string, label string")
+    rows = licenses.scan(df).collect()
+    got = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert len(rows) == 13 and len(got) == 9 and sum(r.doc_id == 0 for r in rows) == 2
+    # words of one row never complete a phrase of another without a doc_id
+    assert sorted((r.n_words, r.n_base, r.base_labels) for r in rows if r.doc_id is None) == [(2, 0, ""), (2, 1, "cc-by"), (3, 0, "")]
     for i, t in enumerate(texts):
         w = [x.decode() for x in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())]
         at = [(j, lab) for ph, lab in licenses.BASE.items() for j in range(len(w)) if w[j: j + len(ph.split())] == ph.split()]
