@@ -355,6 +355,14 @@ def test_line_windows(docs, empty):
     assert linededup.drop_repeated_lines(empty).collect() == []
 
 
+def test_line_windows_of_texts_with_one_id(spark):
+    """Only the text that repeats a passage is cut, not another one of the same doc_id."""
+    rows = [(1, "a\nb\nc"), (2, "p\na\nb\nc\nq"), (2, "v\nw\nx\ny\nz"), (2, "v\nw\nx\ny\nz"), (2, None)]
+    got = linededup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text or "") for r in got) == [
+        (1, 3, 0, "a\nb\nc"), (2, 0, 0, ""), (2, 5, 0, "v\nw\nx\ny\nz"), (2, 5, 0, "v\nw\nx\ny\nz"), (2, 5, 3, "p\nq")]
+
+
 def test_deep_shallow_sort():
     rng = random.Random(3)
     for _ in range(60):
