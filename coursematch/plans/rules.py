@@ -228,10 +228,10 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     else:
         # Rows of a list carry the mark of the row that names it, which is 'L':
         # only non-list rows can hide the next one.
-        hides = (F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK)
-                 & _c("li_rname").isNull() & _c("li_rqfyt").isNull())
+        no_list = _c("li_rname").isNull() & _c("li_rqfyt").isNull()
+        hides = F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK) & no_list
         kept = keep_shown(rows, partition, order, F.floor(F.col("_seq2_int") / LAG_CHUNK_ROWS),
-                          ends=pseudo, hides_next=hides).filter(tests)
+                          ends=pseudo, hides_next=hides, may_hide=no_list).filter(tests)
 
     # Output columns, built on the surviving rows only.
     if raw_criteria:

@@ -105,4 +105,7 @@ def test_keep_shown_on_hot_and_null_places(spark):
         w = lag_marker(running_cutoff(df, ["g"], ["o", "id"], F.col("ends"), "c"), ["g"], ["o", "id"], "hides", "p")
         got = keep_shown(df, ["g"], ["o", "id"], F.floor(F.col("o") / 3), F.col("ends"), F.col("hides"))
         assert rows(got, "id") == rows(w.filter("c = 0 and not coalesce(p, false)"), "id")
+        only = F.col("g") == "hot"      # places of the other partitions are not listed
+        hot = keep_shown(df, ["g"], ["o", "id"], F.floor(F.col("o") / 3), F.col("ends"), F.col("hides") & only, F.coalesce(only, F.lit(False)))
+        assert rows(hot, "id") == rows(w.filter("c = 0 and not (coalesce(p, false) and g <=> 'hot')"), "id")
         assert rows(before_first(df, ["g"], ["o", "id"], F.col("ends")), "id") == rows(w.filter("c = 0"), "id")
