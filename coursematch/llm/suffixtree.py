@@ -1,27 +1,34 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-States are contexts of up to two words. A context is a candidate if it makes up P_MIN of the training
-tokens, and it is kept if its next-word distribution diverges enough from that of its longest proper
-suffix. A kept state holds the next words that make up Q_MIN of the tokens together with it, discounted;
-the mass it takes off goes to the suffix's distribution, down to the smoothed word counts at the root.
-Both thresholds are shares of the corpus, so the tree has at most 1 / P_MIN states and 1 / Q_MIN next words
-for each length however large the corpus is, and can go to every executor. The counts of words are not
-cut: those beyond the tree's are joined, word by word.
+States are contexts, runs of words. A context is a candidate if it stands LEAST_CONTEXT times in the training
+texts, and it is kept if its next-word distribution diverges enough from that of its longest proper suffix. A
+kept state holds the next words that stand LEAST times after it, discounted; the mass it takes off goes to the
+suffix's distribution, down to the smoothed word counts at the root. Lengths are added until one keeps no
+state; a longer context beyond that length is not looked for.
+
+The tree grows with the corpus, so counts, states and probabilities are Spark tables. A run's value is its log10
+probability less that of its suffix and its context's weight, and, if it is a state itself, its own weight: the
+values of all runs that end at a token sum up to the token's log10 probability. So the texts' runs are joined
+to one table and summed by row. The most frequent runs (HEAD, a bounded number) go to every executor, and a
+bitmap of bounded size tells most runs that are not in the table; both only save shuffling.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursematch.llm.common import LOWER, Store, mix, slices, words
+from coursematch.llm.common import LOWER, POWER, Store, mix, slices, words
 
-P_MIN, Q_MIN = 2e-6, 5e-7   # share of the training tokens of a context, and of a context with its next word
-LEAST = 2                   # and at least so often
-LEAST_CONTEXT = 4
+LEAST = 2                   # times of a context with its next word
+LEAST_CONTEXT = 4           # times of a context
+HEAD = 1e-6                 # share of the training tokens of a run whose value goes to every executor
+SIEVE = 27                  # log2 of a bitmap's bits
 DISCOUNT = 0.75
 DIVERGENCE = 0.01           # nats of a kept context against its suffix
 FLUSH = 1 << 21             # tokens counted together in a task
@@ -44,7 +51,8 @@ def find(sorted_keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Words (hash, count), pairs and triples with their log10 probabilities, and the states' back-off weights."""
+    """The same in memory for contexts of up to two words, to hold the tables against: words (hash, count), pairs
+    and triples with their log10 probabilities, and the states' back-off weights."""
 
     def __init__(self, total: int, kinds: int):
         self.total, self.kinds = total, kinds
@@ -54,14 +62,6 @@ class Tree:
         self.log: list[np.ndarray] = [np.zeros(0)] * 2
         self.back: list[np.ndarray] = [np.zeros(0), np.zeros(0)]    # log10 back-off weight of a state; nan: no state
 
-    @property
-    def least(self) -> int:
-        return max(LEAST, int(np.ceil(Q_MIN * self.total)))
-
-    @property
-    def least_context(self) -> int:
-        return max(LEAST_CONTEXT, int(np.ceil(P_MIN * self.total)))
-
     def root(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 1.0) / (self.total + self.kinds + 1))
 
@@ -114,7 +114,7 @@ class Tree:
         self.back[level] = np.log10(back)
         if level == 0:
             self._pairs = n.astype(np.int64)
-            self.contexts[1] = (n >= self.least_context) & (self.words[keys & ((1 << BITS) - 1)] != END)
+            self.contexts[1] = (n >= LEAST_CONTEXT) & (self.words[keys & ((1 << BITS) - 1)] != END)
 
     def score(self, t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each token its word number, its log10 root probability and its log10 probability; for a word
@@ -131,18 +131,53 @@ class Tree:
         return w, base, out
 
 
-def _counted(keys_of):
-    """Counts of the keys that ``keys_of`` finds in the texts, summed within a task as far as they come together."""
+def grams(t: np.ndarray, first: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the runs of m words that end at each token, of their contexts and of their suffixes, and whether
+    the run lies in its text. A key is made of the keys of context and suffix; that of one word is its hash."""
+    k, ctx, suf = t, t, t
+    left = np.arange(len(t)) - np.repeat(first[:-1], np.diff(first))
+    for j in range(2, m + 1):
+        ctx, suf = np.roll(k, 1), k
+        k = key(ctx, suf)
+    return k, ctx, suf, left >= m - 1
+
+
+def key(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    return mix(ctx.view(np.uint64) * POWER[3] + suf.view(np.uint64) * POWER[5]).view(np.int64)
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """The low bits of all ``k`` as a bitmap of 2^SIEVE bits: what is not in it needs no shuffle."""
+    x = F.col("k").bitwiseAND(F.lit((1 << SIEVE) - 1)) + 1
+    rows = keys.groupBy(F.bitmap_bucket_number(x).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(x)).alias("bits")).collect()
+    out = np.zeros(1 << (SIEVE - 3), np.uint8)
+    for r in rows:
+        at = (r.b - 1) * 4096
+        out[at: at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def sieved(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
+    x = k & ((1 << SIEVE) - 1)
+    return (bits[x >> 3] >> (x & 7).astype(np.uint8)) & 1 > 0
+
+
+def _counted(m: int, shared=None):
+    """Counts of the runs of m words whose context may be a candidate, summed within a task as far as they come together."""
     def run(batches):
         held, n = [], 0
 
         def flush():
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c.astype(np.int64))], ["k", "n"])
+            k, ctx, suf = (np.concatenate(x) for x in zip(*held))
+            _, at, c = np.unique(k, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(ctx[at]), pa.array(suf[at]), pa.array(c.astype(np.int64))], ["ctx", "suf", "n"])
 
         for _, data, offs in slices(batches):
-            held.append(keys_of(*tokens(data, offs)))
-            n += len(held[-1])
+            k, ctx, suf, ok = grams(*tokens(data, offs), m)
+            if shared is not None:
+                ok &= sieved(shared.value, ctx)
+            held.append((k[ok], ctx[ok], suf[ok]))
+            n += len(held[-1][0])
             if n >= FLUSH:
                 yield flush()
                 held, n = [], 0
@@ -151,31 +186,54 @@ def _counted(keys_of):
     return run
 
 
-def _context_keys(shared, level: int):
-    def run(t, first):
-        tree = shared.value
-        w, ctx = tree.numbers(t, first, level + 1)
-        ok = (ctx[level] >= 0) & (w >= 0)
-        return (ctx[level][ok] << BITS) | w[ok]
-    return run
+def _keyed(batches):
+    for b in batches:
+        if b.num_rows:
+            k = key(b["ctx"].to_numpy(), b["suf"].to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(k), *b.columns], ["k", *b.schema.names])
 
 
-def _scores(shared):
+def _scores(shared, depth: int):
     def run(batches):
-        tree, at = shared.value, TaskContext.get().partitionId() << 40
+        (head, base, v, known), bits = shared.value
+        at = TaskContext.get().partitionId() << 40
         for rows, data, offs in slices(batches):
             t, first = tokens(data, offs)
-            w, base, out = tree.score(t, first)
-            rare = w < 0
-            runs = np.concatenate([[0], np.cumsum(rare)])[first]
-            add = lambda x: np.add.reduceat(x, first[:-1])
+            of = np.repeat(np.arange(len(rows)), np.diff(first))
+            sums, more = np.zeros((3, len(rows))), []
+            k = t
+            for m in range(1, depth + 1):
+                k, _, _, ok = grams(t, first, m) if m > 1 else (t, t, t, np.ones(len(t), bool))
+                k, row = k[ok], of[ok]
+                i = find(head, k)
+                got = i >= 0
+                for s, x in zip(sums, (known, base, v)):
+                    s += np.bincount(row[got], x[i[got]], minlength=len(rows)) if got.any() else 0
+                rest = ~got if m == 1 else ~got & sieved(bits, k)
+                more.append((row[rest], k[rest]))
+            row, k = (np.concatenate(x) for x in zip(*more))
+            k = k[np.argsort(row, kind="stable")]
+            runs = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(rows)))])
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(at, at + len(rows))), rows.column(0), pa.array(np.diff(first)), pa.array(add((~rare).astype(np.int64))), pa.array(add(base)), pa.array(add(out)),
-                pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.array(t[rare]))], ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+                pa.array(np.arange(at, at + len(rows))), rows.column(0), pa.array(np.diff(first)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
+                pa.ListArray.from_arrays(pa.array(runs, pa.int32()), pa.array(k))], ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rest"])
             at += len(rows)
     return run
 
 
+def states(grams_of: DataFrame) -> DataFrame:
+    """(ctx, size, back) of the contexts whose next words diverge from those of their suffix; back is the log10 weight.
+
+    grams_of: (ctx, size, n, lower) of each context with a next word; lower is the word's log10 probability under the suffix."""
+    p, below = F.col("n") / F.col("size"), F.pow(F.lit(10.0), F.col("lower"))
+    per = grams_of.groupBy("ctx").agg(F.first("size").alias("size"), F.count(F.lit(1)).alias("kinds"), F.sum(p).alias("p"), F.sum(below).alias("b"),
+                                      F.sum(p * F.log(p / below)).alias("kl"), F.sum((F.col("n") - DISCOUNT) / F.col("size")).alias("held"))
+    rest, rest_below = F.greatest(1 - F.col("p"), F.lit(1e-12)), F.greatest(1 - F.col("b"), F.lit(1e-12))
+    per = per.withColumn("kl", F.col("kl") + rest * F.log(rest / rest_below))
+    return (per.where((F.col("kl") >= DIVERGENCE) & (2 * F.col("size") * F.col("kl") >= F.col("kinds") + 3 * F.sqrt(2 * F.col("kinds"))))
+            .select("ctx", "size", F.log10(1 - F.col("held")).alias("back")))
+
+
 def score(documents: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``documents``.
 
@@ -191,27 +249,45 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     train = docs.where(part != 2).select("doc_id", "text")
 
-    def counts(keys_of) -> DataFrame:
-        return train.mapInArrow(_counted(keys_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-
-    table = store.put(counts(lambda t, first: t), "words")
+    table = store.put(train.mapInArrow(_counted(1), "ctx long, suf long, n long").groupBy(F.col("suf").alias("k")).agg(F.sum("n").alias("n")), "words")
     whole = table.agg(F.sum("n"), F.count(F.lit(1))).first()
-    tree = Tree(int(whole[0] or 0), int(whole[1]))
-    common = table.where(F.col("n") >= tree.least).toPandas().sort_values("k")          # at most 1 / Q_MIN rows
-    tree.words, tree.n = common.k.to_numpy(np.int64), common.n.to_numpy(np.int64)
-    tree.contexts[0] = (tree.n >= tree.least_context) & (tree.words != END)
-    for level in (0, 1):
-        shared = sc.broadcast(tree)
-        found = counts(_context_keys(shared, level)).where(F.col("n") >= tree.least).toPandas()   # at most 1 / Q_MIN rows
+    total, kinds = int(whole[0] or 0), int(whole[1])
+    root = lambda n: F.log10((n + F.lit(1.0)) / F.lit(float(total + kinds + 1)))
+    lower = table.select("k", "n", (F.col("k") == F.lit(int(END))).alias("end"), root(F.col("n")).alias("log"))
+    values = [table.select("k", "n", root(F.col("n")).alias("base"), root(F.col("n")).alias("v"), F.lit(1).alias("known"))]
+    length = 1
+    while True:
+        candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end"))
+        shared = sc.broadcast(bitmap(candidates))
+        found = (train.mapInArrow(_counted(length + 1, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+                 .join(candidates.select(F.col("k").alias("ctx"), F.col("n").alias("size")), "ctx")
+                 .join(lower.select(F.col("k").alias("suf"), "end", F.col("log").alias("lower")), "suf")
+                 .select("ctx", "suf", "n", "size", "end", "lower"))
+        found = store.put(found.mapInArrow(_keyed, "k long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)), f"runs{length + 1}")
         shared.unpersist()
-        tree.learn(level, found.k.to_numpy(np.int64), found.n.to_numpy(np.int64))
-
-    scored = store.put(docs.mapInArrow(_scores(sc.broadcast(tree)), "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>"), "scored")
-    rare = scored.select("row", F.explode("rare").alias("k")).groupBy("row", "k").agg(F.count(F.lit(1)).alias("times"))
-    log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tree.total + tree.kinds + 1)))
-    rest = (rare.join(table, "k", "left").groupBy("row")
-            .agg(F.sum(F.col("times") * log).alias("log"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("known")))
-    more = F.coalesce("log", F.lit(0.0))
-    return scored.drop("rare").join(rest, "row", "left").select(
-        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+        kept = store.put(states(found), f"states{length}")
+        if kept.isEmpty():
+            break
+        values.append(kept.select(F.col("ctx").alias("k"), F.col("size").alias("n"), F.lit(0.0).alias("base"), F.col("back").alias("v"), F.lit(0).alias("known")))
+        log = F.log10((F.col("n") - DISCOUNT) / F.col("size") + F.pow(F.lit(10.0), F.col("back") + F.col("lower")))
+        lower = store.put(found.join(kept.select("ctx", "back"), "ctx", "left")
+                          .select("k", "n", "end", F.coalesce(log, "lower").alias("log"), (log - F.col("lower") - F.col("back")).alias("v")), f"logs{length + 1}")
+        values.append(lower.where("v is not null").select("k", "n", F.lit(0.0).alias("base"), "v", F.lit(0).alias("known")))
+        store.drop(found)
+        length += 1
+
+    every = reduce(DataFrame.unionAll, values)
+    often = F.col("n") >= max(1, int(np.ceil(HEAD * total)))
+    head = every.where(often).groupBy("k").agg(F.sum("base").alias("base"), F.sum("v").alias("v"), F.sum("known").alias("known")).toPandas().sort_values("k")     # at most 1 / HEAD rows a length
+    head = [head[c].to_numpy(t) for c, t in (("k", np.int64), ("base", float), ("v", float), ("known", float))]
+    rest = every.where(~often)
+    shared = sc.broadcast((head, bitmap(rest.where("known = 0"))))
+    scored = store.put(docs.mapInArrow(_scores(shared, length), "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, rest array<long>"), "scored")
+    added = (scored.select("row", F.explode("rest").alias("k")).join(rest, "k").groupBy("row")
+             .agg(F.sum("base").alias("base"), F.sum("v").alias("v"), F.sum("known").alias("known")))
+    or0 = lambda c: F.coalesce(c, F.lit(0))
+    n_known = F.col("n_known") + or0("known")
+    unseen = (F.col("n_tokens") - n_known) * root(F.lit(0.0))
+    return scored.drop("rest").join(added, "row", "left").select(
+        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "n_tokens", n_known.alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base_score") + or0("base") + unseen).alias("base_score"), (F.col("score") + or0("v") + unseen).alias("score"))

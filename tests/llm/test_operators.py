@@ -176,6 +176,67 @@ def test_suffix_tree_states_are_distributions():
     assert out.mean() > base.mean() + 0.2
 
 
+def by_hand(train, texts):
+    """Scores of a suffix tree over tuples, length by length until one keeps no state; and the longest kept context."""
+    n = collections.Counter(tuple(t[i:j]) for t in train for i in range(len(t)) for j in range(i + 1, len(t) + 1))
+    total, kinds = sum(c for g, c in n.items() if len(g) == 1), sum(len(g) == 1 for g in n)
+    log = {g: math.log10((c + 1) / (total + kinds + 1)) for g, c in n.items() if len(g) == 1}
+    back, length = {}, 0
+    while True:
+        length += 1
+        after = collections.defaultdict(list)
+        for g, c in n.items():
+            if len(g) == length + 1 and c >= 2 and n[g[:-1]] >= 4:
+                after[g[:-1]].append(g)
+        kept = {}
+        for ctx, found in after.items():
+            p, below = [n[g] / n[ctx] for g in found], [10 ** log[g[1:]] for g in found]
+            rest = max(1 - sum(p), 1e-12), max(1 - sum(below), 1e-12)
+            kl = sum(a * math.log(a / b) for a, b in zip(p, below)) + rest[0] * math.log(rest[0] / rest[1])
+            if kl >= 0.01 and 2 * n[ctx] * kl >= len(p) + 3 * math.sqrt(2 * len(p)):
+                kept[ctx] = 1 - sum((n[g] - 0.75) / n[ctx] for g in found)
+            for g, b in zip(found, below):
+                log[g] = math.log10((n[g] - 0.75) / n[ctx] + kept[ctx] * b) if ctx in kept else log[g[1:]]
+        if not kept:
+            break
+        back |= kept
+
+    def word(t, i):
+        out = log.get((t[i],), math.log10(1 / (total + kinds + 1)))
+        for m in range(1, min(i, length) + 1):
+            ctx = tuple(t[i - m: i])
+            out = log[ctx + (t[i],)] if ctx + (t[i],) in log else out + math.log10(back[ctx]) if ctx in back else out
+        return out
+
+    return [sum(word(t, i) for i in range(len(t))) for t in texts], max(map(len, back))
+
+
+@pytest.mark.parametrize("head", [1e-6, 2.0])
+def test_suffix_tree_by_hand(spark, monkeypatch, head):
+    monkeypatch.setattr(suffixtree, "HEAD", head)     # the same scores whichever runs are joined
+    rng = random.Random(7)
+    rows = []
+    for i in range(300):            # a word is one of the three before it
+        w = ["a", "b", "c"]
+        for _ in range(rng.randint(2, 14)):
+            w.append(w[-rng.randint(1, 3)] if rng.random() < 0.9 else rng.choice("abcdefg"))
+        rows.append((i, " ".join(w)))
+    rows += [(300, ""), (301, "new words b"), (302, "a b c a new b c a")]
+    tok = [[*t.split(), None] for _, t in rows]
+    want, longest = by_hand([t for (i, _), t in zip(rows, tok) if zlib.crc32(str(i).encode()) % 7 != 2], tok)
+    assert longest >= 3
+    got = {r.doc_id: r.score for r in suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i: pytest.approx(x) for (i, _), x in zip(rows, want)}
+
+
+def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(i, "so it goes " * 234_000) for i in ids[:10]]
+    rows += [(i, f"w{i % 2} v{i % 2}") for i in ids[10:18]]     # four times each among seven million words
+    r = {r.doc_id: r for r in suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}[ids[12]]
+    assert r.train_tokens > 7_000_000 and r.score > r.base_score + 8
+
+
 def test_decontamination(docs, empty, spark):
     rng = random.Random(2)
     items = [(i, "".join(rng.choice("abcdefghij é") for _ in range(n)).strip() + "z") for i, n in enumerate([60, 120, 300, 90, 11, 3])]
