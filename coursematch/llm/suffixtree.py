@@ -1,10 +1,10 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 States are contexts, runs of words. A context is a candidate if it stands LEAST_CONTEXT times in the training
-texts, and it is kept if its next-word distribution diverges enough from that of its longest proper suffix. A
-kept state holds the next words that stand LEAST times after it, discounted; the mass it takes off goes to the
-suffix's distribution, down to the smoothed word counts at the root. Lengths are added until one keeps no
-state; a longer context beyond that length is not looked for.
+texts and, from three words on, if its longest proper suffix is a state. It is kept if its next-word distribution
+diverges enough from that of the suffix. A kept state holds the next words that stand LEAST times after it,
+discounted; the mass it takes off goes to the suffix's distribution, down to the smoothed word counts at the root.
+Lengths are added until one keeps no state; a state behind a suffix of two words or more that is none is not found.
 
 The tree grows with the corpus, so counts, states and probabilities are Spark tables. A run's value is its log10
 probability less that of its suffix and its context's weight, and, if it is a state itself, its own weight: the
@@ -163,7 +163,8 @@ def sieved(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 
 def _counted(m: int, shared=None):
-    """Counts of the runs of m words whose context may be a candidate, summed within a task as far as they come together."""
+    """Counts of the runs of m words whose context (up to three words) or its suffix may be in the bitmap, summed
+    within a task as far as they come together."""
     def run(batches):
         held, n = [], 0
 
@@ -173,9 +174,12 @@ def _counted(m: int, shared=None):
             return pa.RecordBatch.from_arrays([pa.array(ctx[at]), pa.array(suf[at]), pa.array(c.astype(np.int64))], ["ctx", "suf", "n"])
 
         for _, data, offs in slices(batches):
-            k, ctx, suf, ok = grams(*tokens(data, offs), m)
-            if shared is not None:
+            t, first = tokens(data, offs)
+            k, ctx, suf, ok = grams(t, first, m)
+            if m in (2, 3):
                 ok &= sieved(shared.value, ctx)
+            elif m > 3:
+                ok &= sieved(shared.value, np.roll(grams(t, first, m - 2)[0], 1))
             held.append((k[ok], ctx[ok], suf[ok]))
             n += len(held[-1][0])
             if n >= FLUSH:
@@ -257,10 +261,17 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
     values = [table.select("k", "n", root(F.col("n")).alias("base"), root(F.col("n")).alias("v"), F.lit(1).alias("known"))]
     length = 1
     while True:
-        candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end"))
-        shared = sc.broadcast(bitmap(candidates))
-        found = (train.mapInArrow(_counted(length + 1, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-                 .join(candidates.select(F.col("k").alias("ctx"), F.col("n").alias("size")), "ctx")
+        if length < 3:
+            candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end")).select(F.col("k").alias("ctx"), F.col("n").alias("size"))
+            shared = sc.broadcast(bitmap(candidates.select(F.col("ctx").alias("k"))))
+        else:
+            shared = sc.broadcast(bitmap(kept.select(F.col("ctx").alias("k"))))
+            lower = lower.where("v is not null")        # the runs behind a state
+        runs = train.mapInArrow(_counted(length + 1, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
+        if length >= 3:         # a context stands as often as some word follows it
+            runs = store.put(runs, f"counts{length + 1}")
+            candidates = runs.groupBy("ctx").agg(F.sum("n").alias("size")).where(F.col("size") >= LEAST_CONTEXT)
+        found = (runs.where(F.col("n") >= LEAST).join(candidates, "ctx")
                  .join(lower.select(F.col("k").alias("suf"), "end", F.col("log").alias("lower")), "suf")
                  .select("ctx", "suf", "n", "size", "end", "lower"))
         found = store.put(found.mapInArrow(_keyed, "k long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)), f"runs{length + 1}")

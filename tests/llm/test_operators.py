@@ -186,7 +186,7 @@ def by_hand(train, texts):
         length += 1
         after = collections.defaultdict(list)
         for g, c in n.items():
-            if len(g) == length + 1 and c >= 2 and n[g[:-1]] >= 4:
+            if len(g) == length + 1 and c >= 2 and n[g[:-1]] >= 4 and (length < 3 or g[1:-1] in back):
                 after[g[:-1]].append(g)
         kept = {}
         for ctx, found in after.items():
