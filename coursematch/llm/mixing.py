@@ -1,13 +1,15 @@
 """Mixing to target weights with soft domain memberships, in DataFrame operations.
 
-A naive Bayes classifier over the most telling words of labelled documents gives every document its
-posteriors over the domains. Each document gets a nonnegative rate so that the expected tokens of each
+A naive Bayes classifier over the words of labelled documents that tell a domain from the others gives every
+document its posteriors over the domains. Each document gets a nonnegative rate so that the expected tokens of each
 domain, sum of rate * tokens * posterior, come to their targets: least squares by projected gradient,
 where one step needs only grouped sums with a row for the whole table, and the rates stay with the rows.
 """
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +18,11 @@ from coursematch.llm.common import Store
 
 DOMAINS = ("clean", "low", "toxic")
 SAMPLE = 8000       # labelled documents that the classifier is fitted on, at most
-WORDS = 64          # words that it uses
 RATIO = 6           # a word is used only if it is so many times as common in some domain as in another
+# to be chosen from on held-out labels:
+ERROR = (1e-3, 1e-4, 1e-5, 1e-6)                    # chance that a word is taken for a domain that it does not tell from the others
+SMOOTH = (0.5, 0.1)                                 # counts added to a word's
+SHRINK = (1.0, 0.7, 0.5, 0.35, 0.25, 0.15, 0.1)     # factors of its evidence
 TOKEN = r"[0-9a-z\x{80}-\x{10FFFF}]+|[^0-9a-z\x{80}-\x{10FFFF}\s]+"
 STEPS = 40          # gradient steps at most
 CLOSE = 1e-6        # share of all tokens to which targets are met
@@ -36,23 +41,69 @@ def classifier(documents: DataFrame, labels: DataFrame, text: str = "text", samp
     known = (labels.where("doc_id is not null and quality in (0, 1) and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(d).alias("d"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known), "doc_id")
-            .select("d", F.array_distinct(_tokens("text")).alias("w")))
-    size = {r.d: r.n for r in rows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = np.array([size.get(i, 0) for i in range(len(DOMAINS))], float)
+            .select("doc_id", "d", F.array_distinct(_tokens("text")).alias("w")))
+    rows = rows.withColumn("out", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0)
+    live = range(len(DOMAINS))
+    size = {(r.d, r.out): r.n for r in rows.groupBy("d", "out").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_fit = np.array([size.get((i, False), 0) for i in live], float)
+    n = n_fit + np.array([size.get((i, True), 0) for i in live], float)
     if not n.sum():
-        return {"n": n, "base": np.zeros(len(DOMAINS)), "words": {}}
-    k = [F.col(f"k{i}") for i in range(len(DOMAINS))]
-    total, all_n = sum(k[1:], k[0]), float(n.sum())
-    # log-likelihood ratio of word presence and domain
+        return {"n": n, "base": np.zeros(len(DOMAINS)), "words": {}, "chosen": None}
+    counts = rows.select("d", "out", F.explode("w").alias("w")).groupBy("w").agg(
+        *(F.sum((F.col("d") == i).cast("double")).alias(f"k{i}") for i in live), *(F.sum(((F.col("d") == i) & ~F.col("out")).cast("double")).alias(f"f{i}") for i in live))
+    # choice on the held-out third, from words of the others; then words and counts of all
+    p, words, odds = _telling(counts, "f", n_fit, max(ERROR))
+    level, smooth, shrink = min(ERROR), SMOOTH[0], 1.0
+    if words and (n > n_fit).any():
+        held = rows.where("out").select("d", F.array_intersect("w", F.array(*(F.lit(w) for w in words))).alias("w")).collect()
+        held = [r for r in held if n_fit[r.d]]
+        at, d, loss = {w: j for j, w in enumerate(words)}, np.array([r.d for r in held], int), {}
+        has = np.zeros((len(held), len(words)), np.float32)
+        for i, r in enumerate(held):
+            has[i, [at[w] for w in r.w]] = 1
+        for e in ERROR:
+            on = odds <= e
+            for a in SMOOTH:
+                prior, absent, shift = _evidence(p[on], n_fit, a)
+                hits = has[:, on] @ shift
+                for s in SHRINK:
+                    x = np.where(n_fit > 0, prior + s * (absent + hits), -np.inf)
+                    x = x - x.max(axis=1, keepdims=True)
+                    loss[e, a, s] = float((np.log(np.exp(x).sum(axis=1)) - x[np.arange(len(d)), d]).sum())
+        level, smooth, shrink = min(loss, key=loss.get)
+    p, words, _ = _telling(counts, "k", n, level)
+    prior, absent, shift = _evidence(p, n, smooth)
+    return {"n": n, "base": prior + shrink * absent, "words": {w: (shrink * x).tolist() for w, x in zip(words, shift)}, "chosen": (level, smooth, shrink)}
+
+
+def _telling(counts: DataFrame, name: str, n: np.ndarray, level: float):
+    """The words that some domain has more often than the others by a likelihood-ratio test: their counts (one row a
+    word) by domain, the words, and the test's chances."""
+    live, all_n = np.flatnonzero(n), float(n.sum())
+    if len(live) < 2:
+        return np.zeros((0, len(DOMAINS))), [], np.zeros(0)
+    k = [F.col(f"{name}{i}") for i in range(len(DOMAINS))]
+    total = sum(k[1:], k[0])
     part = lambda x, e: F.when((x > 0) & (e > 0), x * F.log(x / e)).otherwise(0.0)
-    gain = sum((part(k[i], total * float(n[i] / all_n)) + part(F.lit(float(n[i])) - k[i], (all_n - total) * float(n[i] / all_n)) for i in range(len(DOMAINS))), F.lit(0.0))
-    counts = rows.select("d", F.explode("w").alias("w")).groupBy("w").agg(*(F.sum((F.col("d") == i).cast("double")).alias(f"k{i}") for i in range(len(DOMAINS))))
-    shares = [(k[i] + 0.5) / float(n[i] + 1) for i in range(len(DOMAINS)) if n[i]]
-    telling = F.greatest(*shares) >= RATIO * F.least(*shares) if len(shares) > 1 else F.lit(False)
-    top = counts.where((total >= 5) & telling).withColumn("gain", gain).orderBy(F.desc("gain"), "w").limit(WORDS).collect()
-    p = np.array([[r[f"k{i}"] for i in range(len(DOMAINS))] for r in top]).reshape(-1, len(DOMAINS))
-    p = (p + 0.5) / (n + 1)
-    return {"n": n, "base": np.log((n + 1e-3) / (n.sum() + 1e-3 * len(n))) + np.log1p(-p).sum(axis=0), "words": {r.w: (np.log(q) - np.log1p(-q)).tolist() for r, q in zip(top, p)}}
+
+    def test(i):
+        share = float(n[i] / all_n)
+        absent, rest = F.lit(float(n[i])) - k[i], total - k[i]
+        out = part(k[i], total * share) + part(rest, total * (1 - share)) + part(absent, (all_n - total) * share) + part(all_n - total - absent, (all_n - total) * (1 - share))
+        return F.when(k[i] > total * share, 2 * out).otherwise(0.0)
+
+    shares = [(k[i] + 0.5) / float(n[i] + 1) for i in live]
+    best = F.greatest(*(test(int(i)) for i in live))
+    top = (counts.withColumn("best", best).where((F.col("best") >= NormalDist().inv_cdf(level) ** 2) & (F.greatest(*shares) >= RATIO * F.least(*shares)))
+           .select("w", "best", *k).orderBy("w").collect())
+    odds = np.array([NormalDist().cdf(-r.best ** 0.5) for r in top])
+    return np.array([[r[f"{name}{i}"] for i in range(len(DOMAINS))] for r in top]).reshape(-1, len(DOMAINS)), [r.w for r in top], odds
+
+
+def _evidence(k: np.ndarray, n: np.ndarray, smooth: float):
+    """Log priors, the log-odds of no word at all, and each word's log-odds shifts by its presence."""
+    p = (k + smooth) / (n + 2 * smooth)
+    return np.log((n + 1e-3) / (n.sum() + 1e-3 * len(n))), np.log1p(-p).sum(axis=0), np.log(p) - np.log1p(-p)
 
 
 def _sum_of(column: str, i: int, start: float):

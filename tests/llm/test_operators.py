@@ -496,3 +496,21 @@ def test_mixing_meets_targets(spark):
     want = np.array([2 if t else 1 - q for _, q, t in marks])
     assert (out.sort_values("doc_id")[["p0", "p1", "p2"]].to_numpy().argmax(axis=1) == want).mean() > 0.97
     assert mixing.mix(df, lab, factors={"toxic": 0.0}, keep=["doc_id"]).where("p2 > 0.9").agg(F.max("rate")).first()[0] < 0.3
+
+
+def test_mixing_learns_words_of_a_small_language(spark):
+    rng = random.Random(8)
+    rows, marks = [], []
+    for i in range(1200):
+        kind = (0, 0, 0, 1, 2)[i % 5]
+        w = sentence(20).split()
+        if kind == 2 and i % 15 != 4:
+            w += rng.sample([f"vile{j}" for j in range(80)], 40)        # more and commoner words than the small language has
+        elif kind == 2:
+            w.append("malo")
+        rows.append((i, " ".join(w)))
+        marks.append((i, int(kind != 1), int(kind == 2)))
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = mixing.classifier(df, lab)["words"]
+    assert "malo" in found and len(found) >= 81
+    assert found["malo"][2] > max(found["malo"][:2])
