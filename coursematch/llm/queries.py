@@ -77,4 +77,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "n_tokens", F.col("p0").alias("p_clean"), F.col("p1").alias("p_low"), F.col("p2").alias("p_toxic"), "rate")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_suffix_tree, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op9_deep_shallow, op10_mixing)}
+#: The rules of the url query.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op11_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.linkgraph import Rule, judge
+
+    return judge(_table(spark, sf_dir, "pages"), [Rule(*r) for r in URL_RULES]).drop("trust", "distrust")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from coursematch.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_suffix_tree, op3_hyperplane, op4_qgrams, op5_crf, op6_kdtree, op7_diagonals, op8_line_windows, op9_deep_shallow, op10_mixing,
+    op11_link_graph, op12_collocations, op13_whitening)}
