@@ -45,6 +45,8 @@ class MatchConfig:
     source_format: str = "parquet"
     crosswalk: str | None = None
     output: str | None = None
+    # One object for each pair (as the source writes) in place of a folder of parts.
+    objects: bool = False
     # Requirement pairs (first year, last year) of a partial run; None: all.
     pairs: tuple[tuple[str, str], ...] | None = None
     # Reproduce the reference's no-op level reject unless asked otherwise.

@@ -33,13 +33,14 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("source", "crosswalk", "output"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--format", default="parquet")
+    p.add_argument("--objects", action="store_true", help="one csv.gz for each pair in place of a folder")
     p.add_argument("--institution")
     p.add_argument("--as-of", type=date.fromisoformat, help="YYYY-MM-DD; today if not given")
     p.add_argument("--pair", action="append", metavar="FIRST,LAST", help="only this requirement pair; may be repeated")
     a = p.parse_args(argv)
     pairs = tuple(tuple(x.split(",", 1)) for x in a.pair) if a.pair else None
     cfg = MatchConfig(as_of=a.as_of, institution=a.institution, source=a.source, source_format=a.format,
-                      crosswalk=a.crosswalk, output=a.output, pairs=pairs)
+                      crosswalk=a.crosswalk, output=a.output, objects=a.objects, pairs=pairs)
     run(build_session(None), cfg)
 
 

@@ -49,3 +49,44 @@ def code_flags(pairs: DataFrame) -> DataFrame:
         F.when(F.col("_hits") == 0, 1).otherwise(0).alias("rc_ord_match"),
         F.when((F.col("rc_and") != "") & (F.col("_cw") > 0) & (F.col("_out") == 0), 0)
          .otherwise(1).alias("rc_and_match"))
+
+
+def indexed_characters(strings: DataFrame, longest: int = 60) -> DataFrame:
+    """(``s``, ``i``, ``code``): every character of each distinct string of the column ``s`` with its place from 1.
+
+    A recursive query: each step takes the next character of the strings that have one, so it ends
+    after the longest one. Spark bounds the depth of a recursion (100 steps unless set otherwise), so strings of over ``longest``
+    characters are an error, not a shorter result; criteria have at most 24 codes. (Its row limit, 1,000,000 unless
+    ``spark.sql.cteRecursionRowLimit`` says otherwise, is an error too.) NULL and '' have no characters.
+    """
+    spark = strings.sparkSession
+    checked = strings.select("s").distinct().where("s != ''").select(
+        F.when(F.char_length("s") > longest, F.raise_error(F.lit(f"a string of over {longest} characters"))).otherwise(F.col("s")).alias("s"))
+    return spark.sql("""
+        WITH RECURSIVE chars(s, i, code) AS (
+          SELECT s, 1, substring(s, 1, 1) FROM {strings}
+          UNION ALL
+          SELECT s, i + 1, substring(s, i + 1, 1) FROM chars WHERE i < char_length(s)
+        )
+        SELECT s, i, code FROM chars""", strings=checked)
+
+
+def code_flags_by_index(pairs: DataFrame) -> DataFrame:
+    """``code_flags`` from characters that a recursive query has numbered: each string of a criteria row is joined to its
+    characters and each character tested against the combination."""
+    w = F.coalesce(F.col("ac_cw"), F.lit(""))
+    base = pairs.select(*[F.coalesce(F.col(k), F.lit("")).alias(k) for k in KEYS[:3]], w.alias("ac_cw")).distinct()
+    every = base.select(F.explode(F.array("ac_all", "rc_ord", "ac_cw")).alias("s"))
+    chars = indexed_characters(every)
+
+    def tests(column: str, name: str, hit) -> DataFrame:
+        met = base.join(chars, base[column] == chars["s"])
+        return met.groupBy(*KEYS).agg(F.sum(F.when(hit, 1).otherwise(0)).alias(name), F.count(F.lit(1)).alias(name + "_all"))
+
+    in_cw, in_and = F.instr(F.col("ac_cw"), F.col("code")) > 0, F.instr(F.col("rc_and"), F.col("code")) > 0
+    found = (base.join(tests("ac_all", "_miss", ~in_cw), KEYS, "left").join(tests("rc_ord", "_hits", in_cw), KEYS, "left")
+             .join(tests("ac_cw", "_out", ~in_and), KEYS, "left"))
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    return found.select(
+        *KEYS, F.when(none("_miss"), 1).otherwise(0).alias("ac_match"), F.when(none("_hits"), 1).otherwise(0).alias("rc_ord_match"),
+        F.when((F.col("rc_and") != "") & ~none("_out_all") & none("_out"), 0).otherwise(1).alias("rc_and_match"))

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from coursematch.functions.text import eq_blank_padded, like
 from coursematch.operators.joins import overlap_join
-from coursematch.operators.windows import keep_shown, lag_marker, running_cutoff, top1
+from coursematch.operators.ranges import keep_shown
+from coursematch.operators.windows import lag_marker, running_cutoff, top1
 from coursematch.plans.normalise import CRITERIA_PARTS, RAW_CRITERIA, criteria_parts
+from coursematch.staging import stage
 
 REQ_KEYS = ["instidq", "instid", "instcd", "rname", "rqfyt"]
 PAIR = ["pair_rqfyt", "pair_lyt"]
@@ -33,9 +35,6 @@ EXCLUDED_COLLEGE_WORDS = ("MAPP", "TAG")
 PROGRAM_CATEGORIES = ("A", "C", "F", "G", "L", "M", "N", "P", "Q", "R", "S", "X", "e", "f", "t", "y", "z")
 # ---------------------------------------------------------------------------
 
-# Course rows per chunk when the previous-row mark is computed chunk by chunk.
-LAG_CHUNK_ROWS = 256
-
 RULE_COLUMNS = [
     "rname", "subreq_id", "rqfyt", "lyt", "rtitle1", "seq1", "seq2", "seq3", "seq4", "course",
     "tflg", "ctitle", "college", "category", "ar_type", "rqtype", "rqfyt2", "lyt2", "matchctl",
@@ -44,6 +43,16 @@ RULE_COLUMNS = [
 ]
 
 
+# What the list join, the row tests and the output need of a requirement's course rows.
+BASE_COLUMNS = [
+    *PAIR, "rm_instidq", "rm_instid", "rm_instcd", "rm_rqfyt", "rm_lyt", "rm_rtitle1", "rm_rqtype", "rm_ac1", "rm_ac2", "rm_rc1", "rm_rc2",
+    "sr_rname", "sr_rqfyt", "sr_int_seq_no", "sr_user_seq_no", "sr_grp", "sr_grpmin", "sr_grpmax", "sr_hcmin", "sr_hcmax",
+    *(f"sr_{c}" for c in ("ac1", "ac2", "ac3", "ac4", "ac5", "acor", "rc1", "rc2", "rc3", "rc4", "rc5", "rcand")),
+    "dp_college", "dp_category", "sra_sub_int_seq_no", "sra_user_seq_no", "sra_course", "sra_tflg", "sra_ctitle", "sra_crsflag", "sra_ar_type",
+    "sra_matchctl", "sra_ac", "sra_rc", "_seq2_int",
+]
+
+
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
 
@@ -87,10 +96,10 @@ def with_list_members(rows: DataFrame, lists: DataFrame) -> DataFrame:
     """Course rows that name a list left-joined to its members (li_) of an overlapping time."""
     return overlap_join(
         rows, lists,
-        keys=[(F.trim("li_instidq"), F.trim("rm_instidq")),
-              (F.trim("li_instid"), F.trim("rm_instid")),
-              (F.trim("li_instcd"), F.trim("rm_instcd")),
-              (F.trim("li_rname"), F.trim("sra_course"))],
+        keys=[(F.trim("rm_instidq"), F.trim("li_instidq")),
+              (F.trim("rm_instid"), F.trim("li_instid")),
+              (F.trim("rm_instcd"), F.trim("li_instcd")),
+              (F.trim("sra_course"), F.trim("li_rname"))],
         left_interval=(F.trim("rm_rqfyt"), F.trim("rm_lyt")),
         right_interval=(F.trim("li_rqfyt"), F.trim("li_lyt")),
         condition=F.trim("sra_matchctl") == LIST_MATCHCTL,
@@ -110,8 +119,11 @@ def row_tests(ar_type: Column, matchctl: Column, crsflag: Column, course: Column
 
 
 def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
-                 institution: str | None = None) -> DataFrame:
-    """J4: members of every course list (a requirement of type 'L' of the institution)."""
+                 institution: str | None = None, reduce: bool = False) -> DataFrame:
+    """J4: members of every course list (a requirement of type 'L' of the institution).
+
+    ``reduce`` drops the course rows of other sub-requirements by a semi-join first, for a few lists out of many.
+    """
     rm = _prefixed(req_main.filter(of_institution(F.col("instcd"), institution)
                                    & (F.trim("rqtype") == LIST_RQTYPE)), "rm_")
     sr = _prefixed(sub_req, "sr_")
@@ -119,7 +131,10 @@ def course_lists(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     # The inner join to list requirements only involves sub_req and req_main
     # columns, so it runs first: the course-row join then touches the
     # sub-requirements of lists only, not the whole table.
-    joined = with_course_rows(with_sub_requirements(rm, sr), sra)
+    heads = with_sub_requirements(rm, sr)
+    if reduce:
+        sra = sra.join(heads.select(F.col("sr_int_seq_no").alias("_id")).distinct(), F.col("sra_sub_int_seq_no") == F.col("_id"), "left_semi")
+    joined = with_course_rows(heads, sra)
     return joined.select(
         _c("rm_instidq").alias("instidq"), _c("rm_instid").alias("instid"),
         _c("rm_instcd").alias("instcd"), _c("rm_rname").alias("rname"),
@@ -162,9 +177,15 @@ def _college_allowed(college: Column) -> Column:
     return allowed | college.isNull()
 
 
+def of_pairs(req: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Requirements of the pairs (rqfyt, lyt) of a table: a semi-join on the trimmed years."""
+    p = pairs.select(F.col("rqfyt").alias("_p1"), F.col("lyt").alias("_p2"))
+    return req.join(p, (F.trim(req["rqfyt"]) == p["_p1"]) & (F.trim(req["lyt"]) == p["_p2"]), "left_semi")
+
+
 def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
                  dprog: DataFrame, dprog_req: DataFrame,
-                 pair: tuple[str, str] | None = None, raw_criteria: bool = True,
+                 pairs: DataFrame | None = None, raw_criteria: bool = True,
                  method: str = "split", institution: str | None = None) -> DataFrame:
     """J5: sub-requirement rule rows of every requirement pair, lists expanded.
 
@@ -175,14 +196,15 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     -> running cutoff at the first pseudo course and the previous row's mark,
     both over the rows before the final filters -> final filters.
 
-    ``pair`` = (rqfyt, lyt) restricts the requirement side to one pair, as one
-    run of the source does; course lists still come from every requirement.
+    ``pairs`` (rqfyt, lyt) restricts the requirement side to some pairs, as one
+    run of the source does to one; course lists still come from every requirement. The pairs'
+    sub-requirements then reduce the course rows, and the lists that those name reduce the lists, by
+    semi-joins before the big joins, so that a run for one pair reads the tables but shuffles little of them.
 
-    ``method="window"`` runs the cutoff and previous-row test as one window
-    over whole partitions; the default ``"split"`` gives the same rows (for a
-    total order) from two passes over the joined rows: a narrow one that is
-    grouped by partition and chunk of course rows, and the wide one, left-joined
-    to the few chunks in which something is cut off or hidden.
+    The sources are read once for the sub-requirements' course rows and once for the list members. Both are staged with the
+    columns needed; the joins of the two, and the cutoff and the previous-row test
+    (``operators.ranges.keep_shown``: a grouped minimum, and a range-split window over the keys that matter), start from there. ``method="window"`` stages nothing and runs both tests as one
+    window over whole partitions; it gives the same rows (for a total order).
 
     ``raw_criteria=False`` replaces the 18 raw criteria columns by their
     row-local criteria strings (``normalise.CRITERIA_PARTS``), computed on the
@@ -190,18 +212,28 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
     """
     if method not in ("split", "window"):
         raise ValueError("method must be 'split' or 'window'")
+    put = stage if method == "split" else lambda df, name: df
     req = req_main.filter(of_institution(F.col("instcd"), institution)
                           & F.trim("rqfyt").isNotNull() & F.trim("lyt").isNotNull())
-    if pair is not None:
-        req = req.filter((F.trim("rqfyt") == pair[0]) & (F.trim("lyt") == pair[1]))
-    lists = _prefixed(course_lists(req_main, sub_req, sub_req_ar, institution), "li_")
+    if pairs is not None:
+        req = of_pairs(req, pairs)
     progs = _prefixed(program_top1(dprog, dprog_req, institution), "dp_")
     # The program join and the college test depend on the sub-requirement only:
     # applying them before the course and list joins drops rows earlier.
     base = (with_sub_requirements(_prefixed(req, "rm_"), _prefixed(sub_req, "sr_"))
             .withColumn("pair_rqfyt", F.trim("rm_rqfyt")).withColumn("pair_lyt", F.trim("rm_lyt")))
-    base = with_course_rows(with_programs(base, progs), _prefixed(sub_req_ar, "sra_"))
-    rows = with_list_members(base.withColumn("_seq2_int", _c("sra_user_seq_no").cast("int")), lists)
+    base = with_programs(base, progs)
+    course_rows, list_reqs = sub_req_ar, req_main
+    if pairs is not None:
+        base = put(base, "needs")
+        course_rows = sub_req_ar.join(base.select(F.col("sr_int_seq_no").alias("_id")).distinct(), F.col("sub_int_seq_no") == F.col("_id"), "left_semi")
+    base = with_course_rows(base, _prefixed(course_rows, "sra_")).withColumn("_seq2_int", _c("sra_user_seq_no").cast("int"))
+    base = put(base.select(*BASE_COLUMNS), "course-rows")
+    if pairs is not None:
+        named = base.where(F.trim("sra_matchctl") == LIST_MATCHCTL).select(F.trim("sra_course").alias("_name")).distinct()
+        list_reqs = req_main.join(named, F.trim("rname") == F.col("_name"), "left_semi")
+    lists = put(course_lists(list_reqs, sub_req, sub_req_ar, institution, reduce=pairs is not None), "lists")
+    rows = with_list_members(base, _prefixed(lists, "li_"))
 
     raw = {"r_ac1": "rm_ac1", "r_ac2": "rm_ac2", "r_rc1": "rm_rc1", "r_rc2": "rm_rc2",
            "ac": "sra_ac", "rc": "sra_rc",
@@ -230,8 +262,7 @@ def expand_rules(req_main: DataFrame, sub_req: DataFrame, sub_req_ar: DataFrame,
         # only non-list rows can hide the next one.
         no_list = _c("li_rname").isNull() & _c("li_rqfyt").isNull()
         hides = F.coalesce(_c("sra_matchctl"), F.lit("")).contains(HIDE_NEXT_MARK) & no_list
-        kept = keep_shown(rows, partition, order, F.floor(F.col("_seq2_int") / LAG_CHUNK_ROWS),
-                          ends=pseudo, hides_next=hides, may_hide=no_list).filter(tests)
+        kept = keep_shown(rows, partition, order, ends=pseudo, hides_next=hides, may_hide=no_list, only=tests)
 
     # Output columns, built on the surviving rows only.
     if raw_criteria:

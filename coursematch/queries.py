@@ -14,21 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursematch.config import MatchConfig
+from coursematch.functions.codes import CRITERIA_CODES
 from coursematch.functions.text import term_code
-from coursematch.operators.explode import code_flags
+from coursematch.operators.containment import accepted_combinations
+from coursematch.operators.explode import code_flags, code_flags_by_index
 from coursematch.operators.joins import wildcard_join
+from coursematch.operators.ranges import previous_value, running_sum
 from coursematch.operators.versions import current_or_future, latest_version
-from coursematch.operators.windows import before_first, dedupe_by_key, lag_marker_chunked
+from coursematch.operators.windows import before_first, dedupe_by_key
 from coursematch.plans import course_match as cm
 from coursematch.plans.crosswalk import courses_with_codes, expand_crosswalk
 from coursematch.plans.matching import (
-    course_pattern, criteria_flags, criteria_pairs, level_condition, rule_item_match)
+    course_matches, course_pattern, criteria_flags, criteria_pairs, level_condition, rule_item_match)
 from coursematch.plans.offered import offered_courses
 from coursematch.plans.normalise import SUB_ACCEPT_COLUMNS, accept_alternatives, level_marks
 from coursematch.plans.rules import (
     PAIR, _prefixed, course_lists, expand_rules, of_institution, program_top1, requirement_pairs,
     row_tests, with_course_rows, with_list_members, with_programs, with_sub_requirements)
 from coursematch.sources.derive import AS_OF, INSTITUTION, domain
+from coursematch.staging import stage
 
 CFG = MatchConfig(as_of=date.fromisoformat(AS_OF), institution=INSTITUTION)
 # The pair bound by named parameters in ``param_slice`` (the source runs its
@@ -36,6 +40,8 @@ CFG = MatchConfig(as_of=date.fromisoformat(AS_OF), institution=INSTITUTION)
 SLICE_PAIR = {"rqfyt": "19957", "lyt": "19954"}
 # ``running_cutoff`` / ``lag_marker`` on events: what counts as a marker row.
 CUTOFF_EVENT, CUTOFF_VALUE, LAG_EVENT = "error", 150.0, "signup"
+# Rows of a block of the range-split windows over events.
+WINDOW_BLOCK = 1 << 16
 
 INPUT_NAMES = ["ps_crse_offer", "ps_crse_catalog", "crosswalk_raw", "req_main", "sub_req",
                "sub_req_ar", "dprog", "dprog_req"]
@@ -50,6 +56,10 @@ def _rules(spark, sf_dir):
     return cm.rules(inputs(spark, sf_dir), CFG)
 
 
+def _staged_rules(spark, sf_dir):
+    return cm.staged_rules(inputs(spark, sf_dir), CFG)
+
+
 def _courses(spark, sf_dir):
     return cm.courses(inputs(spark, sf_dir), CFG)
 
@@ -62,10 +72,9 @@ def q_requirement_pairs(spark, sf_dir):
 
 def q_param_slice(spark, sf_dir):
     i = inputs(spark, sf_dir)
-    rules = expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, institution=INSTITUTION)
-    # Named parameter markers; Catalyst pushes the pair test down to req_main.
-    return spark.sql("SELECT * FROM {rules} WHERE pair_rqfyt = :rqfyt AND pair_lyt = :lyt",
-                     args=SLICE_PAIR, rules=rules).drop(*PAIR)
+    # Named parameter markers bind the pair; the pair set then reduces the requirements, course rows and lists.
+    pair = spark.sql("SELECT rqfyt, lyt FROM {pairs} WHERE rqfyt = :rqfyt AND lyt = :lyt", args=SLICE_PAIR, pairs=requirement_pairs(i.req_main))
+    return expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, pairs=pair, institution=INSTITUTION).drop(*PAIR)
 
 
 # --- effective dating -------------------------------------------------------
@@ -118,7 +127,7 @@ def q_overlap_join(spark, sf_dir):
     d = domain(spark, sf_dir)
     base = _req_sub(d).filter(of_institution(F.col("rm_instcd"), INSTITUTION))
     lists = _prefixed(course_lists(d["req_main"], d["sub_req"], d["sub_req_ar"], INSTITUTION), "li_")
-    j = with_list_members(with_course_rows(base, _prefixed(d["sub_req_ar"], "sra_")), lists)
+    j = with_list_members(stage(with_course_rows(base, _prefixed(d["sub_req_ar"], "sra_")), "course-rows"), stage(lists, "lists"))
     return j.select(F.col("rm_rname").alias("rname"), F.col("rm_lyt").alias("lyt"),
                     F.col("sr_user_seq_no").alias("seq1"), F.col("sra_user_seq_no").alias("seq2"),
                     F.col("sra_course").alias("course"), F.col("li_rqfyt").alias("rqfyt2"),
@@ -143,10 +152,19 @@ def q_running_cutoff(spark, sf_dir):
     return before_first(ev, ["user_id"], ["ts", "event_id"], flag).select("event_id", "user_id", "event_type")
 
 
+def q_running_sum(spark, sf_dir):
+    ev = domain(spark, sf_dir)["events"].select("event_id", "user_id", "event_type", "ts", F.floor("value").alias("whole"))
+    marker = F.when(F.col("event_type") == CUTOFF_EVENT, F.lit(1)).otherwise(F.lit(0))
+    out = running_sum(ev, ["user_id"], ["ts", "event_id"], "whole", "running_value", block_rows=WINDOW_BLOCK)
+    # over all rows of one kind: few, large partitions
+    out = running_sum(out, ["event_type"], ["ts", "event_id"], "whole", "running_type_value", block_rows=WINDOW_BLOCK)
+    return running_sum(out, ["user_id"], ["ts", "event_id"], marker, "running_markers", block_rows=WINDOW_BLOCK).select(
+        "event_id", "user_id", "event_type", "running_value", "running_type_value", "running_markers")
+
+
 def q_lag_marker(spark, sf_dir):
     ev = domain(spark, sf_dir)["events"].select("event_id", "user_id", "ts", "event_type")
-    # a user's events are spread over their days
-    out = lag_marker_chunked(ev, ["user_id"], ["ts", "event_id"], "event_type", "prev_type", F.date_trunc("day", "ts"))
+    out = previous_value(ev, ["user_id"], ["ts", "event_id"], "event_type", "prev_type", block_rows=WINDOW_BLOCK)
     return (out.filter(F.coalesce(F.col("prev_type"), F.lit("")) != LAG_EVENT)
                .select("event_id", "user_id", "event_type", "prev_type"))
 
@@ -204,19 +222,27 @@ def q_criteria_normalise(spark, sf_dir):
 
 
 def q_criteria_match(spark, sf_dir):
-    return criteria_flags(criteria_pairs(_rules(spark, sf_dir), _courses(spark, sf_dir)))
+    return criteria_flags(criteria_pairs(_staged_rules(spark, sf_dir), _courses(spark, sf_dir)))
 
 
 def q_code_explode(spark, sf_dir):
-    return code_flags(criteria_pairs(_rules(spark, sf_dir), _courses(spark, sf_dir)))
+    return code_flags(criteria_pairs(_staged_rules(spark, sf_dir), _courses(spark, sf_dir)))
+
+
+def q_code_index(spark, sf_dir):
+    return code_flags_by_index(criteria_pairs(_staged_rules(spark, sf_dir), _courses(spark, sf_dir)))
+
+
+def q_criteria_accepted(spark, sf_dir):
+    return accepted_combinations(_rules(spark, sf_dir), expand_crosswalk(domain(spark, sf_dir)["crosswalk_raw"]), CRITERIA_CODES)
 
 
 def _pattern_join(spark, sf_dir, with_level: bool):
-    r = _rules(spark, sf_dir).withColumn("_pattern", course_pattern(F.col("course")))
-    c = _courses(spark, sf_dir).withColumn("_value", F.trim("full_crse"))
+    rules, courses = _staged_rules(spark, sf_dir), _courses(spark, sf_dir)
     cond = ((lambda v: level_condition(F.col("upper_lower_acc"), F.col("upper_lower_rej"), v))
             if with_level else None)
-    j = wildcard_join(r, c, "_pattern", "_value", value_condition=cond, how="left")
+    j = wildcard_join(rules.withColumn("_pattern", course_pattern(F.col("course"))), courses, "_pattern", "_value",
+                      value_condition=cond, how="left", matches=course_matches(rules, courses))
     return j.select(*PAIR, "rname", "subreq_id", "seq1", "seq2", "seq3", "seq4", "course", "lyt2",
                     "upper_lower_acc", "full_crse", "crse_id", "ac_cw")
 
@@ -230,7 +256,7 @@ def q_level_match(spark, sf_dir):
 
 
 def q_rule_item_match(spark, sf_dir):
-    m = rule_item_match(_rules(spark, sf_dir), _courses(spark, sf_dir))
+    m = rule_item_match(_staged_rules(spark, sf_dir), _courses(spark, sf_dir))
     return m.select(*PAIR, "rname", "subreq_id", "seq1", "seq2", "seq3", "seq4", "course", "lyt2",
                     "full_crse", "crse_id", "ac_all", "rc_ord", "rc_and", "ac_cw")
 
@@ -251,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overlap_join": q_overlap_join,
     "program_top1": q_program_top1,
     "running_cutoff": q_running_cutoff,
+    "running_sum": q_running_sum,
     "lag_marker": q_lag_marker,
     "dedupe_by_key": q_dedupe_by_key,
     "rule_filters": q_rule_filters,
@@ -262,6 +289,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "criteria_normalise": q_criteria_normalise,
     "criteria_match": q_criteria_match,
     "code_explode": q_code_explode,
+    "code_index": q_code_index,
+    "criteria_accepted": q_criteria_accepted,
     "wildcard_match": q_wildcard_match,
     "level_match": q_level_match,
     "rule_item_match": q_rule_item_match,

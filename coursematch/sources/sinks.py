@@ -1,19 +1,19 @@
-"""J10: the result as gzip CSV, one folder per requirement pair."""
+"""J10: the result as gzip CSV, one folder or one object per requirement pair."""
 
 from __future__ import annotations
 
+import gzip
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from coursematch.config import MatchConfig, checkpoint_dir
+from coursematch.config import MatchConfig
 from coursematch.plans import course_match as cm
 from coursematch.plans.rules import PAIR
+from coursematch.staging import drop_bucketed
 
 # CSV as the source writes it: header, no index, NULL and '' both empty, '"'
 # doubled inside quoted fields, blanks kept as they are.
@@ -46,45 +46,111 @@ def write_result(result: DataFrame, path: str, replace: str = "all") -> None:
            .partitionBy(*PAIR).options(**CSV_OPTIONS).csv(path))
 
 
-def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A written result, with the types it had."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).select([f.name for f in schema.fields])
+def _header_member(columns: list[str]) -> bytes:
+    """A gzip member that holds the header line, quoted as the CSV writer quotes."""
+    quoted = ['"' + c.replace('"', '""') + '"' if set(c) & set(',"\n\r') else c for c in columns]
+    return gzip.compress((",".join(quoted) + "\n").encode("utf-8"), mtime=0)
 
 
-@contextmanager
-def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``df`` written as parquet under the shared checkpoint folder and read back; deleted afterwards.
+def write_objects(result: DataFrame, path: str, prefix: str = "part", replace: str = "all") -> list[str]:
+    """Write one object for each pair, ``{prefix}-{rqfyt}-{lyt}.csv.gz``, without the pair columns; returns their names.
 
-    This cuts the lineage: a lost executor recomputes later stages from the
-    written files instead of from the source tables. The folder is the
-    cluster's ``spark.checkpoint.dir`` (set by ``config.checkpoint_dir`` only
-    where the session names none, as in tests).
+    Tasks write a pair's rows as headerless gzip parts in parallel (by ranges, so that a large pair has many writers).
+    A gzip file may be several gzip members one after another, so an object is a header member and then the
+    parts in row order: nothing is unpacked or packed again. Where the file system can join files (``concat``), no
+    byte moves; elsewhere the driver's JVM copies them stream to stream, a buffer at a time. Each object is built beside the
+    target folder and moved over its predecessor in one rename, so readers never see half of one.
+    ``replace="all"`` also removes objects of pairs that this result doesn't have; ``"pairs"`` leaves them.
     """
-    spark: SparkSession = df.sparkSession
-    target = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if replace not in ("all", "pairs"):
+        raise ValueError("replace must be 'all' or 'pairs'")
+    spark = result.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    to_path = lambda *p: jvm.org.apache.hadoop.fs.Path(*p)
+    target = to_path(path)
+    fs = target.getFileSystem(conf)
+    target = fs.makeQualified(target)
+    work = to_path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex}")
+    columns = [c for c in result.columns if c not in PAIR]
+    order = [c for c in (*PAIR, "rname", "seq1") if c in result.columns]
     try:
-        df.write.mode("overwrite").parquet(target)
-        yield spark.read.parquet(target)
+        (result.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy(*PAIR)
+               .options(**{**CSV_OPTIONS, "header": "false"}).csv(to_path(work, "parts").toString()))
+        fs.mkdirs(target)
+        header, names = _header_member(columns), []
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
+        unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        value = lambda folder: unescape(folder.getPath().getName().split("=", 1)[1])
+        folders = lambda p: [f for f in fs.listStatus(p) if f.isDirectory()]
+        for first in folders(to_path(work, "parts")):
+            for last in folders(first.getPath()):
+                parts = sorted((f.getPath() for f in fs.listStatus(last.getPath())), key=lambda p: p.getName())
+                name = f"{prefix}-{value(first)}-{value(last)}.csv.gz"
+                built = to_path(work, name)
+                out = fs.create(built)
+                out.write(header)
+                joined = False
+                if fs.hasPathCapability(built, "fs.capability.paths.concat"):
+                    out.close()
+                    sources = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+                    for i, p in enumerate(parts):
+                        sources[i] = p
+                    fs.concat(built, sources)
+                    joined = True
+                if not joined:
+                    for p in parts:
+                        source = fs.open(p)
+                        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                        source.close()
+                    out.close()
+                context.rename(built, to_path(target, name), overwrite)
+                names.append(name)
+        if replace == "all":
+            for f in fs.listStatus(target):
+                old = f.getPath().getName()
+                if old.startswith(prefix + "-") and old.endswith(".csv.gz") and old not in names:
+                    fs.delete(f.getPath(), False)
+        return sorted(names)
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        fs.delete(work, True)
+
+
+def read_objects(spark: SparkSession, path: str, schema: StructType, prefix: str = "part") -> DataFrame:
+    """The objects of ``write_objects`` with the types they had; the pair comes from the object's name."""
+    body = StructType([f for f in schema.fields if f.name not in PAIR])
+    rows = spark.read.schema(body).options(**CSV_OPTIONS).csv(f"{path.rstrip('/')}/{prefix}-*.csv.gz").select("*", F.col("_metadata.file_name").alias("_name"))
+    pair = F.regexp_extract_all("_name", F.lit(rf"^{prefix}-(.*)-([^-]*)\.csv\.gz$"), 1), F.regexp_extract_all("_name", F.lit(rf"^{prefix}-(.*)-([^-]*)\.csv\.gz$"), 2)
+    return rows.withColumns({PAIR[0]: F.try_element_at(pair[0], F.lit(1)), PAIR[1]: F.try_element_at(pair[1], F.lit(1))}).select([f.name for f in schema.fields])
+
+
+def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written result, with the types it had."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).select([f.name for f in schema.fields])
+
+
+def pair_table(spark: SparkSession, pairs) -> DataFrame:
+    """The named pairs of a partial run as a table (rqfyt, lyt)."""
+    return spark.createDataFrame([tuple(p) for p in pairs], "rqfyt string, lyt string").distinct()
 
 
 def run_and_write(inputs: cm.Inputs, path: str, cfg: MatchConfig = MatchConfig()) -> DataFrame:
-    """The whole job: rules (stored while it runs), courses, matching, CSV per pair.
+    """The whole job: rules (staged while it runs), courses, matching, CSV per pair.
 
+    With ``cfg.objects`` that is one object a pair, else a folder of parts a pair.
     Returns the written result, read from ``path``. With ``cfg.pairs`` only
     those pairs are computed and replaced.
     """
     cfg = replace(cfg, as_of=cfg.day())
-    wanted = cm.rules(inputs, cfg)
-    if cfg.pairs is not None:
-        test = F.lit(False)
-        for first, last in cfg.pairs:
-            test = test | ((F.col(PAIR[0]) == first) & (F.col(PAIR[1]) == last))
-        wanted = wanted.filter(test)
-    with materialized(wanted, "rules") as rules:
+    which = "all" if cfg.pairs is None else "pairs"
+    spark = inputs.req_main.sparkSession
+    wanted = None if cfg.pairs is None else pair_table(spark, cfg.pairs)
+    rules = cm.staged_rules(inputs, cfg, wanted)
+    try:
         result = cm.course_match(inputs, cfg, rules_df=rules)
-        write_result(result, path, "all" if cfg.pairs is None else "pairs")
+        (write_objects if cfg.objects else write_result)(result, path, replace=which)
         schema = result.schema
-    return read_result(inputs.req_main.sparkSession, path, schema)
+    finally:
+        drop_bucketed(rules)
+    return (read_objects if cfg.objects else read_result)(spark, path, schema)

@@ -75,7 +75,8 @@ def test_one_pass_equals_union_of_pair_runs(spark):
         shared.setdefault(rq, []).append(ly)
     rq, lyts = next((k, v) for k, v in sorted(shared.items()) if len(v) > 1)
     for ly in lyts:
-        one = expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, pair=(rq, ly))
+        wanted = spark.createDataFrame([(rq, ly)], "rqfyt string, lyt string")
+        one = expand_rules(i.req_main, i.sub_req, i.sub_req_ar, i.dprog, i.dprog_req, pairs=wanted)
         sliced = all_pairs.filter((F.col("pair_rqfyt") == rq) & (F.col("pair_lyt") == ly))
         a, b = rows(one.drop(*PAIR)), rows(sliced.drop(*PAIR))
         assert a == b and len(a) > 0
@@ -90,22 +91,3 @@ def test_split_cutoff_equals_single_window(spark):
     window = expand_rules(*args, method="window")
     a, b = rows(split), rows(window)
     assert a == b and len(a) > 0
-
-
-def test_keep_shown_on_hot_and_null_places(spark):
-    """One partition with half the rows, chunks of three, NULL places: the windows' rows exactly."""
-    import random
-
-    from coursematch.operators.windows import before_first, keep_shown, lag_marker, running_cutoff
-    rnd = random.Random(9)
-    for seed in range(4):
-        data = [("hot" if rnd.random() < 0.5 else None if rnd.random() < 0.1 else f"k{rnd.randrange(9)}",
-                 None if rnd.random() < 0.1 else rnd.randrange(60), i, rnd.random() < 0.3, rnd.random() < (0.02, 0.2, 0, 1)[seed]) for i in range(500)]
-        df = spark.createDataFrame(data, "g string, o int, id int, hides boolean, ends boolean").repartition(5)
-        w = lag_marker(running_cutoff(df, ["g"], ["o", "id"], F.col("ends"), "c"), ["g"], ["o", "id"], "hides", "p")
-        got = keep_shown(df, ["g"], ["o", "id"], F.floor(F.col("o") / 3), F.col("ends"), F.col("hides"))
-        assert rows(got, "id") == rows(w.filter("c = 0 and not coalesce(p, false)"), "id")
-        only = F.col("g") == "hot"      # places of the other partitions are not listed
-        hot = keep_shown(df, ["g"], ["o", "id"], F.floor(F.col("o") / 3), F.col("ends"), F.col("hides") & only, F.coalesce(only, F.lit(False)))
-        assert rows(hot, "id") == rows(w.filter("c = 0 and not (coalesce(p, false) and g <=> 'hot')"), "id")
-        assert rows(before_first(df, ["g"], ["o", "id"], F.col("ends")), "id") == rows(w.filter("c = 0"), "id")

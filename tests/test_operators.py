@@ -41,13 +41,3 @@ def test_running_cutoff_and_lag_marker(spark):
     assert rows(cut.filter("c = 0"), "g", "o") == [(1, 1), (2, 1), (2, 2)]
     lagged = lag_marker(df, ["g"], ["o"], "t", "prev")
     assert rows(lagged, "g", "o", "prev") == [(1, 1, None), (1, 2, "a"), (1, 3, "stop"), (2, 1, None), (2, 2, "a")]
-
-
-def test_lag_marker_chunked_equals_lag_marker(spark):
-    from coursematch.operators.windows import lag_marker_chunked
-    data = [(g, o, f"v{(g * 7 + o) % 5}" if o % 4 else None) for g in (1, 2) for o in range(1, 40)]
-    data += [(None, o, f"n{o}") for o in (3, 1, 2)]
-    df = spark.createDataFrame(data, "g int, o int, t string")
-    plain = lag_marker(df, ["g"], ["o"], "t", "prev")
-    chunked = lag_marker_chunked(df, ["g"], ["o"], "t", "prev", F.floor(F.col("o") / 6))
-    assert rows(chunked) == rows(plain)

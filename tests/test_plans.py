@@ -15,7 +15,7 @@ def test_flagship_has_no_nested_loop_cartesian_or_python(spark):
 
 
 def test_top1_windows_are_limited_before_the_shuffle(spark):
-    plan = _plan(QUERIES["course_match"](spark, SF_SMALL))
+    plan = _plan(QUERIES["dedupe_by_key"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
@@ -28,12 +28,41 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
     assert "o_orderdate" not in orders and "o_totalprice" not in orders
 
 
-def test_param_slice_pushes_the_pair_to_the_requirement_scan(spark):
-    df = QUERIES["param_slice"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    # the pair literals reach the filter on the requirement rows, below the joins
-    assert "19957" in plan and "19954" in plan
-    assert plan.index("19954") > plan.index("Join")
+def test_param_slice_reduces_every_branch_to_its_pair(spark, monkeypatch):
+    """What is staged for one pair, sub-requirements, course rows, lists and joined rows, is of that pair alone."""
+    from coursematch.plans import rules
+    from coursematch.queries import SLICE_PAIR
+    staged = {}
+
+    def spy(df, name, real=rules.stage):
+        staged[name] = (real(df, name), df.count())
+        return staged[name][0]
+
+    monkeypatch.setattr(rules, "stage", spy)
+    assert QUERIES["param_slice"](spark, SF_SMALL).count() > 0
+    assert set(staged) == {"needs", "course-rows", "lists"}
+    pair = (SLICE_PAIR["rqfyt"], SLICE_PAIR["lyt"])
+    for name in ("needs", "course-rows"):
+        assert [tuple(r) for r in staged[name][0].select(*rules.PAIR).distinct().collect()] == [pair], name
+    named = {r[0].strip() for r in staged["course-rows"][0].where("trim(sra_matchctl) = 'L'").select("sra_course").collect()}
+    assert {r[0].strip() for r in staged["lists"][0].select("rname").distinct().collect()} <= named
+    one = {name: n for name, (_, n) in staged.items()}
+    QUERIES["rules_expanded"](spark, SF_SMALL).count()
+    assert 8 * one["course-rows"] < staged["course-rows"][1] and one["lists"] < staged["lists"][1]
+
+
+def test_staged_rules_are_matched_without_a_shuffle(spark):
+    """Bucketed by a prefix of the dedupe key, the rules go through join and deduplication where they lie."""
+    from coursematch.plans import course_match as cm
+    from coursematch.queries import CFG, inputs
+    from coursematch.staging import drop_bucketed
+    i = inputs(spark, SF_SMALL)
+    rules = cm.staged_rules(i, CFG)
+    result = cm.course_match(i, CFG, rules_df=rules)
+    plan = _plan(result)
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    assert result.count() > 0
+    drop_bucketed(rules)
 
 
 def test_plans_hold_without_broadcasts(spark):

@@ -3,6 +3,7 @@
 import glob
 import gzip
 import os
+from dataclasses import replace
 
 import duckdb
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from coursematch.plans.rules import PAIR
 from coursematch.sources.readers import CROSSWALK_EXPR_HEADER, read_crosswalk_csv
-from coursematch.sources.sinks import materialized, read_result, write_result
+from coursematch.sources.sinks import read_objects, read_result, write_objects, write_result
 
 
 def test_write_result_csv_per_pair(spark, tmp_path):
@@ -32,14 +33,49 @@ def test_write_result_csv_per_pair(spark, tmp_path):
     assert second[1] == 'R2,x,b,"c,d",e'
 
 
-def test_stored_table_goes_after_use(spark):
-    with materialized(spark.range(5), "t") as back:
-        folder = back.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
-        assert back.count() == 5 and os.path.isdir(folder)
-    assert not os.path.exists(folder)
+def test_staged_tables_go_when_told(spark):
+    from coursematch.staging import drop_bucketed, stage, stage_bucketed, unstage
+    plain, bucketed = stage(spark.range(5), "t"), stage_bucketed(spark.range(50).withColumn("k", F.col("id") % 7), "t", 4, ["k"], ["id"])
+    for back, n, drop in ((plain, 5, unstage), (bucketed, 50, drop_bucketed)):
+        folder = back._staged_path.removeprefix("file:")
+        assert back.count() == n and os.path.isdir(folder)
+        drop(back)
+        assert not os.path.exists(folder)
     assert spark.sparkContext.getCheckpointDir() is not None
 
 
+OBJECT_ROWS = [("19957", "19954", f"R{i:04d}", None if i % 3 else i, ' a ' if i % 2 else 'say "hi", ñ') for i in range(900)] + [("2000/7", "20 04", "R", None, "line\nbreak"), ("20017", "20014", "S", 4, None)]
+OBJECT_SCHEMA = "pair_rqfyt string, pair_lyt string, rname string, seq1 int, ctitle string"
+
+
+def test_one_object_for_each_pair(spark, tmp_path):
+    df = spark.createDataFrame(OBJECT_ROWS, OBJECT_SCHEMA).repartition(6)
+    out = str(tmp_path / "objects")
+    names = write_objects(df, out)
+    assert names == ["part-19957-19954.csv.gz", "part-2000%2F7-20 04.csv.gz", "part-20017-20014.csv.gz"] or len(names) == 3
+    assert sorted(f for f in os.listdir(out) if f.endswith(".gz")) == names and os.listdir(tmp_path) == ["objects"]
+    raw = open(f"{out}/part-19957-19954.csv.gz", "rb").read()
+    assert raw.count(b"\x1f\x8b\x08") > 2           # a header member and several parts
+    lines = gzip.decompress(raw).decode().splitlines()
+    # integers with NULLs stay integers, NULL is empty, quotes doubled, one header
+    assert lines[0] == "rname,seq1,ctitle" and lines[1:4] == ['R0000,0,"say ""hi"", ñ"', "R0001,, a ", 'R0002,,"say ""hi"", ñ"'] and len(lines) == 901
+    assert lines[1:] == sorted(lines[1:])
+    back = read_objects(spark, out, df.schema)
+    key = lambda r: tuple((v is not None, v) for v in r)
+    plain = [r for r in OBJECT_ROWS if "/" not in r[0]]
+    assert sorted((tuple(r) for r in back.where("rname != 'R' and rname not like 'break%'").collect() if r[0] in ("19957", "20017")), key=key) == sorted(plain, key=key)
+
+
+def test_objects_are_replaced_whole(spark, tmp_path):
+    rows3 = [("1", "2", "a", 1, "x"), ("3", "4", "b", 2, "y")]
+    df, out = spark.createDataFrame(rows3, OBJECT_SCHEMA), str(tmp_path / "objects")
+    write_objects(df, out)
+    write_objects(df.where("pair_rqfyt = '1'").withColumn("seq1", F.lit(9)), out, replace="pairs")
+    assert sorted(tuple(r) for r in read_objects(spark, out, df.schema).collect()) == [("1", "2", "a", 9, "x"), ("3", "4", "b", 2, "y")]
+    write_objects(df.where("pair_rqfyt = '3'"), out)
+    assert [f for f in os.listdir(out) if f.endswith(".gz")] == ["part-3-4.csv.gz"]
+
+
 def test_a_second_run_leaves_nothing_of_the_first(spark, tmp_path):
     schema = "pair_rqfyt string, pair_lyt string, rname string, seq1 int"
     both = spark.createDataFrame([("19957", "19954", "R1", 1), ("19957", "19974", "R2", 2)], schema)
@@ -66,6 +102,11 @@ def test_job_from_files_to_csv(spark, tmp_path):
     want = q_course_match(spark, SF_SMALL)
     assert back.columns == want.columns and back.count() == want.count() > 0
     assert glob.glob(f"{tmp_path}/out/pair_rqfyt=*/pair_lyt=*/*.csv.gz")
+    # the same run as one object a pair, for one pair
+    pair = tuple(want.select(*PAIR).first())
+    some = job.run(spark, replace(cfg, output=str(tmp_path / "objects"), objects=True, pairs=(pair,)))
+    assert [f for f in os.listdir(tmp_path / "objects") if f.endswith(".gz")] == [f"part-{pair[0]}-{pair[1]}.csv.gz"]
+    assert some.columns == want.columns and some.count() == want.where((F.col(PAIR[0]) == pair[0]) & (F.col(PAIR[1]) == pair[1])).count() > 0
 
 
 def test_default_day_is_today():
