@@ -13,11 +13,11 @@ from coursematch.llm.common import Store
 from coursematch.llm.crf import quality
 from coursematch.llm.decontam import contamination
 from coursematch.llm.kdtree import shard
-from coursematch.llm.minhash import near_duplicates
+from coursematch.llm.minhash import without_near_duplicates
 from coursematch.llm.mixing import mix
 
-#: Expected tokens of each domain after mixing, as a share of those before it.
-FACTORS = {"clean": 1.0, "low": 1.0, "toxic": 0.1}
+#: Expected tokens of each domain after mixing, as a share of those before it: toxic text goes, the rest stays.
+FACTORS = {"clean": 1.0, "low": 1.0, "toxic": 0.0}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +31,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id. Rows without a doc_id stay."""
-    gone = near_duplicates(docs, words_per_shingle=5, similarity="0.8").where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without_near_duplicates(docs, words_per_shingle=5, similarity="0.8")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +40,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its rate says, rounded: none at a rate under 0.5."""
-    rated = mix(docs, _table(spark, sf_dir, "labels"), factors=FACTORS)
-    return (rated.withColumn("times", F.floor(F.col("rate") + 0.5).cast("int")).where("times > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*"))
+    """Each document once or not at all (rates go from 0 to 1, so no copies come back): it stays if a hash of its doc_id and text,
+    even over 0 to 1, is under its rate, so the domains' tokens come to what the rates come to, within the spread of such draws."""
+    rated = mix(docs, _table(spark, sf_dir, "labels"), factors=FACTORS, most=1.0)
+    draw = F.pmod(F.xxhash64("row.doc_id", "row.text"), F.lit(1 << 30)) / float(1 << 30)
+    return rated.where(draw < F.col("rate")).select("row.*")
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

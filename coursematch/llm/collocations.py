@@ -33,7 +33,9 @@ MOST_GROUPS = 1 << 20
 SLOTS = 16
 #: Bits of the bitmap of frequent words.
 BITS = 26
-BATCH_BYTES = 8 << 20
+#: Different words, and suffixes, that a task counts together before it passes them on.
+FLUSH_WORDS = 1 << 18
+FLUSH = 1 << 20
 
 PIECE = np.zeros(256, dtype=bool)
 PIECE[list(b".,;:!?") + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -69,22 +71,37 @@ class Suffixes:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Suffixes]:
-    for batch, data, offs in slices(batches, size=BATCH_BYTES):
+    for batch, data, offs in slices(batches):
         yield Suffixes(batch, data, offs)
 
 
 def _count_words(batches):
-    """Each different word of a run of texts with its count; a row without a word has the language's total."""
+    """The different words of many texts with their counts; a row without a word has the language's total."""
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    counts: dict[int, int] = {}
+    spelt: dict[int, tuple[str, str]] = {}
+    totals: dict[str, int] = {}
+
+    def flush():
+        out = {"h": [*counts, *[0] * len(totals)], "lang": [*(x for x, _ in spelt.values()), *totals], "word": [*(w for _, w in spelt.values()), *[None] * len(totals)],
+               "n": [*counts.values(), *totals.values()]}
+        counts.clear(), spelt.clear(), totals.clear()
+        return pa.RecordBatch.from_pydict(out, schema)
+
     for s in _runs(batches):
-        if not len(s.hashes):
-            continue
-        keys, at, n = np.unique(s.hashes, return_index=True, return_counts=True)
-        total = np.bincount(s.lang, minlength=len(s.langs))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([keys.view(np.int64), np.zeros(len(total), np.int64)])),
-            pa.array([s.langs[i] for i in s.lang[at]] + s.langs), pa.array([s.word(i) for i in at] + [None] * len(total)),
-            pa.array(np.concatenate([n, total]))], schema=schema)
+        keys, at, n = np.unique(s.hashes.view(np.int64), return_index=True, return_counts=True)
+        for h, i, c in zip(keys.tolist(), at.tolist(), n.tolist()):
+            if h in counts:
+                counts[h] += c
+            else:
+                counts[h] = c
+                spelt[h] = s.langs[s.lang[i]], s.word(i)
+        for lang, c in zip(s.langs, np.bincount(s.lang, minlength=len(s.langs)).tolist()):
+            totals[lang] = totals.get(lang, 0) + c
+        if len(counts) >= FLUSH_WORDS:
+            yield flush()
+    if totals:
+        yield flush()
 
 
 def _bit(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,32 +197,45 @@ def _leaves(lanes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _deal(frequent: np.ndarray, hot: list[np.ndarray], group: np.ndarray) -> Callable:
-    """The suffixes of each run of texts by group, equal ones as one with a count."""
+    """The suffixes of many texts by group, equal ones as one with a count."""
     schema = pa.schema([("g", pa.int32()), ("lang", pa.string()), ("leaves", pa.binary())])
     shift = np.uint64(64 - (len(group).bit_length() - 1))
 
+    langs: dict[str, int] = {}
+
+    def packed(held):
+        names = list(langs)
+        lanes, g, lang = (np.concatenate(x, -1) for x in zip(*held))
+        order = np.lexsort((lang, g))
+        cut = np.flatnonzero(np.append(True, (np.diff(g[order]) != 0) | (np.diff(lang[order]) != 0)))
+        out = {"g": [], "lang": [], "leaves": []}
+        for a, b in zip(cut, np.append(cut[1:], len(order))):
+            rows = order[a:b]
+            out["g"].append(g[rows[0]])
+            out["lang"].append(names[lang[rows[0]]])
+            out["leaves"].append(_pack(*_leaves(lanes[:, rows], np.ones(b - a, np.int64))))
+        return pa.RecordBatch.from_pydict(out, schema)
+
     def task(batches):
+        held, size = [], 0
         for s in _runs(batches):
             at, length = _windows(s, frequent)
             if not len(at):
                 continue
             n = len(s.hashes)
             key, _ = _prefixes(lambda j: s.hashes[np.minimum(at + j, n - 1)], length, hot)
-            g = group[(mix(key) >> shift).astype(np.int64)]
-            lang = s.lang[at]
-            order = np.lexsort((lang, g))
-            cut = np.flatnonzero(np.append(True, (np.diff(g[order]) != 0) | (np.diff(lang[order]) != 0)))
-            out = {"g": [], "lang": [], "leaves": []}
-            for a, b in zip(cut, np.append(cut[1:], len(order))):
-                rows = order[a:b]
-                lanes = np.zeros((DEPTH, b - a), np.uint64)
-                for j in range(DEPTH):
-                    on = length[rows] > j
-                    lanes[j, on] = s.hashes[at[rows[on]] + j]
-                out["g"].append(g[rows[0]])
-                out["lang"].append(s.langs[lang[rows[0]]])
-                out["leaves"].append(_pack(*_leaves(lanes, np.ones(b - a, np.int64))))
-            yield pa.RecordBatch.from_pydict(out, schema)
+            lanes = np.zeros((DEPTH, len(at)), np.uint64)
+            for j in range(DEPTH):
+                on = length > j
+                lanes[j, on] = s.hashes[at[on] + j]
+            code = np.array([langs.setdefault(v, len(langs)) for v in s.langs], np.int32)
+            held.append((lanes, group[(mix(key) >> shift).astype(np.int64)], code[s.lang[at]]))
+            size += len(at)
+            if size >= FLUSH:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
     return task
 
 

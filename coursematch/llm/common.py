@@ -9,7 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from coursematch.config import checkpoint_dir
+from coursematch.operators.ranges import running_sum
 
 CHUNK_BYTES = 1 << 20
 
@@ -50,6 +53,22 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def keyed(documents: DataFrame, store: Store, text: str = "text", key: str = "_row_key") -> tuple[DataFrame, DataFrame | None]:
+    """``documents`` with a long that tells its texts apart and sorts like doc_id: doc_id itself where no doc_id has two
+    texts (repeated rows have one), else the place of (doc_id, text digest) in their order, with the table (key, doc_id) behind
+    it. NULL doc_ids have a NULL key."""
+    id_ = F.col("doc_id").cast("long")
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    ids = documents.where("doc_id is not null").select(id_.alias("doc_id"), digest.alias("md"))
+    if ids.groupBy("doc_id").agg(F.min("md").alias("a"), F.max("md").alias("b")).where("a != b").isEmpty():
+        return documents.withColumn(key, id_), None
+    table = store.put(ids.distinct().withColumn("all", F.lit(0)), "ids")
+    names = store.put(running_sum(table, ["all"], ["doc_id", "md"], F.lit(1).cast("long"), "_k").drop("all"), "keys")
+    names_of = names.select(F.col("doc_id").alias("_d"), F.col("md").alias("_m"), F.col("_k").alias(key))
+    rows = documents.join(names_of, (id_ == F.col("_d")) & (digest == F.col("_m")), "left").drop("_d", "_m")
+    return rows, names.select(F.col("_k").alias("key"), "doc_id")
+
+
 # ---------------------------------------------------------------- text buffers
 
 LOWER = np.arange(256, dtype=np.uint8)

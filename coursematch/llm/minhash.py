@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursematch.llm.common import LOWER, Forest, Store, grouped, mix, partitions, shingles, slices, words
+from coursematch.llm.common import LOWER, Forest, Store, grouped, keyed, mix, partitions, shingles, slices, words
 from coursematch.llm.components import components
 
 ROWS = 4            # signature coordinates in a band
@@ -169,15 +169,40 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
     words than a shingle has its whole sequence as one shingle; one without words (or with a null text)
     links with nothing. ``similarity`` is a decimal string, compared exactly. component_id is the
     smallest doc_id reachable by links; kept marks it. A document without a doc_id belongs to no
-    component and is kept. Repeated rows of one doc_id each come back. Extra columns are not read.
+    component and is kept. Repeated rows of one doc_id each come back; different texts of one doc_id are
+    documents of their own, each with its own links. Extra columns are not read.
     Whole texts are read; no bucket is cut short.
     """
-    spark = documents.sparkSession
+    store = Store(documents.sparkSession, "minhash")
+    rows, names = keyed(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), store)
+    found = _classified(rows.select("_row_key", "text"), words_per_shingle, similarity, store)
+    if names is None:
+        found = found.withColumnRenamed("key", "doc_id")
+    else:
+        least = names.select(F.col("key").alias("component_id"), F.col("doc_id").alias("_c"))
+        found = (found.join(names, "key", "left").join(least, "component_id", "left")
+                 .select("doc_id", "n_shingles", F.col("_c").alias("component_id")))
+    return (found.select("doc_id", "n_shingles", "component_id")
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def without_near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity: str = "0.8", text: str = "text") -> DataFrame:
+    """The rows of ``documents`` of which no near-duplicate comes earlier: one text of each component, that of the smallest
+    doc_id (of several texts of that doc_id, the one of the smallest digest). Its repeated rows, and rows without a doc_id, stay."""
+    store = Store(documents.sparkSession, "minhash")
+    rows, _ = keyed(documents, store, text)
+    found = _classified(rows.select("_row_key", F.col(text).alias("text")), words_per_shingle, similarity, store)
+    gone = found.where("key != component_id").select(F.col("key").alias("_row_key")).distinct()
+    return rows.join(gone, "_row_key", "left_anti").select(documents.columns)
+
+
+def _classified(rows: DataFrame, words_per_shingle: int, similarity: str, store: Store) -> DataFrame:
+    """(key, n_shingles, component_id) for rows (key, text): the component is its smallest key."""
+    spark = rows.sparkSession
     limit = Fraction(similarity)
     num, den = limit.numerator, limit.denominator
     n_bands = bands(float(limit))
-    store = Store(spark, "minhash")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = rows.toDF("doc_id", "text")
 
     described = store.put(docs.mapInArrow(_describe(words_per_shingle, n_bands), "doc_id long, n_shingles long, digest binary, bands array<long>"), "described")
     known = described.where("doc_id is not null and n_shingles > 0")
@@ -221,5 +246,4 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 5, similarity
                 .select("digest", F.coalesce("component", "rep").alias("component_id")))
     return (described.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest"))
             .join(of_class, "digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+            .select(F.col("doc_id").alias("key"), "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursematch.llm.common import BYTE, POWER, Store, mix, partitions, slices, whole_groups
+from coursematch.llm.common import BYTE, POWER, Store, keyed, mix, partitions, slices, whole_groups
 
 LENGTH = 100
 K = 24
@@ -303,13 +303,15 @@ def drop_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
 
     Each byte under a string of LENGTH bytes that also starts earlier (in a document of a smaller doc_id, or
     earlier in the same one) is removed; strings may overlap, do not cross documents and are judged on the
-    input. kept has the remaining bytes. A null text is empty. Repeated rows of one doc_id are one document:
-    they remove nothing from each other, and each comes back. Rows without a doc_id are left as they are and
+    input. kept has the remaining bytes. A null text is empty. Repeated rows (one doc_id, one text) are one document:
+    they remove nothing from each other, and each comes back. Different texts of one doc_id are documents of
+    their own, in the order of their digests. Rows without a doc_id are left as they are and
     not compared. Other columns are not read. Texts are read whole; no group is cut short.
     """
     spark = documents.sparkSession
     store = Store(spark, "suffix")
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows, _ = keyed(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), store)
+    docs = rows.select(F.col("_row_key").alias("doc_id"), "text")     # from here on, doc_id is the text's own key
 
     described = docs.where("doc_id is not null").select("doc_id", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha")).where(F.col("n") >= LENGTH)
     copied = described.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first != last")
@@ -339,5 +341,6 @@ def drop_repeats(documents: DataFrame, text: str = "text") -> DataFrame:
     whole = copies.select("doc_id", F.lit(0).cast("long").alias("lo"), F.col("n").cast("long").alias("hi"))
     spans = (sorted_.unionAll(single).unionAll(own).unionAll(later).unionAll(whole)
              .groupBy("doc_id").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")))
-    return docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    spans = spans.withColumnRenamed("doc_id", "_row_key")
+    return rows.join(spans, "_row_key", "left").select("doc_id", "text", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
