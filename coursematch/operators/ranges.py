@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursematch.staging import stage, unstage
+from coursematch.staging import stage
 
 #: Rows that one block may hold, about; below twice that, one block is enough and the plain window runs.
 BLOCK_ROWS = 1 << 20
@@ -139,7 +139,7 @@ def keep_shown(df: DataFrame, partition: Sequence[str], order: Sequence[str], en
 
     The rows themselves are neither sorted nor, while the two tables below are small, shuffled: the first end of each partition
     is a grouped minimum; the places that are hidden come from a range-split window over the keys of those
-    partitions that hide anything. Both are staged, so their measured size decides how they are joined. ``may_hide``
+    partitions that hide anything. The ends and those keys are staged, so their measured size decides the joins. ``may_hide``
     is true for the partitions in which a row can hide the next (all of them by default) and must be the same for all rows
     of a partition: the others' keys are not read for it.
     """
@@ -149,12 +149,10 @@ def keep_shown(df: DataFrame, partition: Sequence[str], order: Sequence[str], en
     keys = [*partition, *order]
     places = df if may_hide is None else df.filter(may_hide)
     places = places.select(*keys, hide.alias("_hide"))
-    hiding = stage(places.filter("_hide").select(*[F.col(k).alias("_g_" + k) for k in partition]).distinct(), "hiding")
+    hiding = places.filter("_hide").select(*[F.col(k).alias("_g_" + k) for k in partition]).distinct()
     places = stage(places.join(hiding, _same(places, hiding, partition, "_g_"), "left_semi"), "places")
     hidden = previous_value(places, partition, order, "_hide", "_hidden", block_rows, max_blocks).filter("_hidden")
-    hidden = stage(hidden.select(*[F.col(k).alias("_h_" + k) for k in keys]).distinct(), "hidden")
-    for table in (hiding, places):
-        unstage(table)
+    hidden = hidden.select(*[F.col(k).alias("_h_" + k) for k in keys]).distinct()
     rows = df if only is None else df.filter(only)
     rows = rows.join(first, _same(rows, first, partition, "_e_"), "left").filter(F.col("_first").isNull() | (key < F.col("_first"))).select(df.columns)
     return rows.join(hidden, _same(rows, hidden, keys, "_h_"), "left_anti")

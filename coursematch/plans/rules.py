@@ -54,7 +54,7 @@ BASE_COLUMNS = [
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[F.col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 def _c(name: str) -> Column:
