@@ -43,9 +43,12 @@ def codes(x: np.ndarray, bits: int, n_tables: int) -> np.ndarray:
 
 
 def matrix(column) -> np.ndarray:
-    """Rows of a list column of one length, in double precision."""
+    """Rows of a list column of one length, in double precision, each scaled by the power of two of its largest entry (which
+    changes no cosine, and keeps norms and projections of very large and very small vectors finite)."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+    x = np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
+    power = np.frexp(np.abs(x).max(axis=1, initial=0))[1]
+    return np.ldexp(x, -power[:, None])
 
 
 def _dealt(bits: int, n_tables: int):

@@ -15,13 +15,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursematch.llm.common import Store
+from coursematch.operators.ranges import running_sum
 
 HEAVY = 0.02        # share of a shard from which a text is dealt by hand
 WHOLE = 0.5         # share of a shard beyond which copies of a text are points of their own
 NEAR = 0.002        # share of a shard to which a split is exact
 SHIFTS = (51, 38, 25, 12, 0)
 DIMS = 3
-SLOTS = 4096        # width of doc_id ranges whose rows are numbered together
+
+
+def _values(spark, rows: list[tuple], columns: str) -> DataFrame:
+    """A few control rows as a SQL table of literals."""
+    names = [c.split() for c in columns.split(", ")]
+    literal = lambda v: str(v).lower() if isinstance(v, bool) else f"{v!r}D" if isinstance(v, float) else f"{v}L"
+    body = ", ".join("(" + ", ".join(literal(v) for v in r) + ")" for r in rows) or "(" + ", ".join("NULL" for _ in names) + ")"
+    table = spark.sql(f"SELECT {', '.join(f'CAST({n} AS {t}) AS {n}' for n, t in names)} FROM VALUES {body} AS v({', '.join(n for n, _ in names)})")
+    return table if rows else table.where("false")
 
 
 def _dim(i) -> F.col:
@@ -42,7 +51,7 @@ def _split_keys(spark, points: DataFrame, todo: dict[int, tuple[int, float]], ne
     for shift in SHIFTS:
         if not state:
             break
-        small = spark.createDataFrame([(n, d, p, float(r)) for n, (d, p, r) in state.items()], "node int, dim int, prefix long, want double")
+        small = _values(spark, [(n, d, p, float(r)) for n, (d, p, r) in state.items()], "node int, dim int, prefix long, want double")
         keyed = points.join(F.broadcast(small), "node").withColumn("key", _order(F.col("dim")))
         if above < 63:
             keyed = keyed.where(F.shiftright("key", above) == F.col("prefix"))
@@ -71,8 +80,10 @@ def shard(documents: DataFrame, n_shards: int | None = 40, target_bytes: int | N
 
     Size is the text's UTF-8 bytes plus 16 (a null text has none). Shards are 0 to n_shards - 1, or as
     many as target_bytes asks for. Law ``bytes``: their sizes are near equal. slot numbers a shard's rows
-    from 0 by doc_id (ties in any order, rows without a doc_id first); grown_shard belongs to another law
-    and is null. Null metadata is a value of its own. Repeated rows are rows like others. No rows, no shards.
+    from 0 by doc_id (rows without a doc_id last; equal rows in any order); grown_shard belongs to another law
+    and is null. Null metadata is a value of its own. Repeated rows are rows like others: they are told apart by a stored number,
+    so copies of one text, also those of one doc_id or of none, can be dealt over shards. No rows, no shards.
+    The tree's nodes are control state of the driver, some thousands at 40 shards and 200,000 at 200,000 shards.
     Columns lang and source are used where they exist; other columns are not read.
     """
     spark = documents.sparkSession
@@ -80,7 +91,7 @@ def shard(documents: DataFrame, n_shards: int | None = 40, target_bytes: int | N
     body = F.coalesce(F.col(text), F.lit(""))
     meta = [F.col(c).cast("string").alias(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in ("lang", "source")]
     base = store.put(documents.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
-                                      F.xxhash64(body).alias("h"), *meta), "base")
+                                      F.xxhash64(body).alias("h"), F.monotonically_increasing_id().alias("row"), *meta), "base")
     total = base.agg(F.sum("size")).first()[0] or 0
     if n_shards is None:
         n_shards = max(1, -(-total // int(target_bytes)))
@@ -93,10 +104,10 @@ def shard(documents: DataFrame, n_shards: int | None = 40, target_bytes: int | N
     dims = [F.least(F.lit(4095), (F.log2(F.col("size").cast("double")) * 100).cast("long")).alias("d0"),
             *(F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(c), F.lit(4095)) + 1).cast("long").alias(f"d{i}") for i, c in ((1, "lang"), (2, "source")))]
     blank = F.lit(None).cast("long")
-    copies = base.join(F.broadcast(large), "h").select("h", F.xxhash64("doc_id", "h").alias("tie"), F.col("size").alias("bytes"), *dims, "doc_id", "size", "text_crc32", F.lit(True).alias("single"))
+    copies = base.join(F.broadcast(large), "h").select("h", F.xxhash64("row", "h").alias("tie"), "row", F.col("size").alias("bytes"), *dims, "doc_id", "size", "text_crc32", F.lit(True).alias("single"))
     single = copies.where(~is_heavy)
     whole = (groups.where(~is_large & ~is_heavy)
-             .select("h", F.col("h").alias("tie"), "bytes", *dims, blank.alias("doc_id"), blank.alias("size"), blank.alias("text_crc32"), F.lit(False).alias("single")))
+             .select("h", F.col("h").alias("tie"), blank.alias("row"), "bytes", *dims, blank.alias("doc_id"), blank.alias("size"), blank.alias("text_crc32"), F.lit(False).alias("single")))
     points = store.put(single.unionAll(whole).withColumn("node", F.lit(0)), "points")
     # fewer than n_shards / HEAVY rows
     atoms = [((False, r.h), r.bytes) for r in groups.where(~is_large & is_heavy).select("h", "bytes").collect()]
@@ -131,7 +142,7 @@ def shard(documents: DataFrame, n_shards: int | None = 40, target_bytes: int | N
             held[fresh], held[fresh + 1] = sides
             fresh += 2
         cut = _split_keys(spark, points, todo, NEAR * target)
-        splits = spark.createDataFrame([(n, todo[n][0], cut[n], *children[n]) for n in todo], "node int, dim int, cut long, low int, high int")
+        splits = _values(spark, [(n, todo[n][0], cut[n], *children[n]) for n in todo], "node int, dim int, cut long, low int, high int")
         moved = (points.join(F.broadcast(splits), "node", "left")
                  .withColumn("node", F.when(F.col("dim").isNull(), F.col("node")).when(_order(F.col("dim")) < F.col("cut"), F.col("low")).otherwise(F.col("high")))
                  .drop("dim", "cut", "low", "high"))
@@ -139,15 +150,14 @@ def shard(documents: DataFrame, n_shards: int | None = 40, target_bytes: int | N
         store.drop(points)
         points, nodes = nxt, leaves
 
-    place = spark.createDataFrame([(n, f) for n, (f, _) in nodes.items()], "node int, shard int")
-    by_hand = spark.createDataFrame([(*key, nodes[n][0]) for n in nodes for key, _ in held[n]], "copy boolean, h long, shard int")
+    place = _values(spark, [(n, f) for n, (f, _) in nodes.items()], "node int, shard int")
+    by_hand = _values(spark, [(*key, nodes[n][0]) for n in nodes for key, _ in held[n]], "copy boolean, h long, shard int")
     points = points.join(F.broadcast(place), "node")
     of_text = points.where("not single").select("h", "shard").unionAll(by_hand.where("not copy").select("h", "shard"))
-    out = ["doc_id", "size", "text_crc32", "shard"]
+    out = ["doc_id", "size", "text_crc32", "row", "shard"]
     rows = (base.join(of_text, "h").select(*out).unionAll(points.where("single").select(*out))
             .unionAll(copies.join(F.broadcast(by_hand.where("copy").select(F.col("h").alias("tie"), "shard")), "tie").select(*out)))
-    rows = rows.withColumn("part", F.coalesce(F.floor(F.col("doc_id") / SLOTS), F.lit(-(1 << 62))))
-    counts = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
-    numbered = rows.join(before, ["shard", "part"]).withColumn("at", F.row_number().over(Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32")))
-    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("before") + F.col("at") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    # numbered by ranges of (shard, doc_id), so that no task numbers a whole shard of a large table
+    rows = store.put(rows.withColumn("one", F.lit(1).cast("long")), "placed")
+    numbered = running_sum(rows, ["shard"], ["doc_id", "text_crc32", "row"], "one", "at")
+    return numbered.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("at") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

@@ -1,10 +1,10 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-States are contexts, runs of words. A context is a candidate if it stands LEAST_CONTEXT times in the training
-texts and, from three words on, if its longest proper suffix is a state. It is kept if its next-word distribution
-diverges enough from that of the suffix. A kept state holds the next words that stand LEAST times after it,
+States are contexts, runs of up to DEPTH words (the bound L that such a tree has by definition). Every context that stands
+LEAST_CONTEXT times in the training texts is a candidate, whether or not its suffixes are states. It is kept if its next-word distribution
+diverges enough from that of its longest proper suffix. A kept state holds the next words that stand LEAST times after it,
 discounted; the mass it takes off goes to the suffix's distribution, down to the smoothed word counts at the root.
-Lengths are added until one keeps no state; a state behind a suffix of two words or more that is none is not found.
+So the corpus is read once for each length and once to score, whatever is in it.
 
 The tree grows with the corpus, so counts, states and probabilities are Spark tables. A run's value is its log10
 probability less that of its suffix and its context's weight, and, if it is a state itself, its own weight: the
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from coursematch.llm.common import LOWER, POWER, Store, mix, slices, words
 
+DEPTH = 3                   # words of a context, at most
 LEAST = 2                   # times of a context with its next word
 LEAST_CONTEXT = 4           # times of a context
 HEAD = 1e-6                 # share of the training tokens of a run whose value goes to every executor
@@ -178,7 +179,7 @@ def _counted(m: int, shared=None):
             k, ctx, suf, ok = grams(t, first, m)
             if m in (2, 3):
                 ok &= sieved(shared.value, ctx)
-            elif m > 3:
+            elif m > 3:         # the context's suffix stands as often at least
                 ok &= sieved(shared.value, np.roll(grams(t, first, m - 2)[0], 1))
             held.append((k[ok], ctx[ok], suf[ok]))
             n += len(held[-1][0])
@@ -260,13 +261,10 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
     lower = table.select("k", "n", (F.col("k") == F.lit(int(END))).alias("end"), root(F.col("n")).alias("log"))
     values = [table.select("k", "n", root(F.col("n")).alias("base"), root(F.col("n")).alias("v"), F.lit(1).alias("known"))]
     length = 1
-    while True:
+    while length <= DEPTH:
         if length < 3:
             candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end")).select(F.col("k").alias("ctx"), F.col("n").alias("size"))
-            shared = sc.broadcast(bitmap(candidates.select(F.col("ctx").alias("k"))))
-        else:
-            shared = sc.broadcast(bitmap(kept.select(F.col("ctx").alias("k"))))
-            lower = lower.where("v is not null")        # the runs behind a state
+        shared = sc.broadcast(bitmap(candidates.select(F.col("ctx").alias("k"))))      # from the third length on, those of the length before
         runs = train.mapInArrow(_counted(length + 1, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
         if length >= 3:         # a context stands as often as some word follows it
             runs = store.put(runs, f"counts{length + 1}")
@@ -277,13 +275,14 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
         found = store.put(found.mapInArrow(_keyed, "k long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)), f"runs{length + 1}")
         shared.unpersist()
         kept = store.put(states(found), f"states{length}")
-        if kept.isEmpty():
-            break
         values.append(kept.select(F.col("ctx").alias("k"), F.col("size").alias("n"), F.lit(0.0).alias("base"), F.col("back").alias("v"), F.lit(0).alias("known")))
         log = F.log10((F.col("n") - DISCOUNT) / F.col("size") + F.pow(F.lit(10.0), F.col("back") + F.col("lower")))
         lower = store.put(found.join(kept.select("ctx", "back"), "ctx", "left")
                           .select("k", "n", "end", F.coalesce(log, "lower").alias("log"), (log - F.col("lower") - F.col("back")).alias("v")), f"logs{length + 1}")
         values.append(lower.where("v is not null").select("k", "n", F.lit(0.0).alias("base"), "v", F.lit(0).alias("known")))
+        if length >= 3 and length < DEPTH:
+            candidates = store.put(candidates, f"candidates{length}")
+            store.drop(runs)
         store.drop(found)
         length += 1
 

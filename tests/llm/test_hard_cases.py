@@ -1,0 +1,178 @@
+"""Rows that share ids, equal rows, extreme vectors, short and repetitive passages, targets out of reach."""
+
+import collections
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from coursematch.llm import hyperplane, kdtree, minhash, mixing, suffixdedup
+from coursematch.llm.common import Store, keyed
+from coursematch.llm.decontam import Items, contamination
+
+SCHEMA = "doc_id long, text string"
+
+
+def sentence(rnd, n):
+    return " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def near(rnd, text):
+    w = text.split()
+    w[len(w) // 2] = "changed"
+    return " ".join(w)
+
+
+def test_keys_sort_like_ids_and_tell_texts_apart(spark):
+    rows = [(5, "b"), (5, "a"), (1, "x"), (1, "x"), (None, "n"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], SCHEMA + ", key int")
+    got, names = keyed(docs, Store(spark, "t"))
+    key = {(r.doc_id, r.text): r._row_key for r in got.collect()}
+    assert got.columns == [*docs.columns, "_row_key"] and len({key[5, "a"], key[5, "b"], key[1, "x"], key[7, ""]}) == 4
+    assert key[None, "n"] is None and key[7, None] == key[7, ""] and key[1, "x"] < min(key[5, "a"], key[5, "b"]) < key[7, ""]
+    plain, none = keyed(docs.where("doc_id != 5"), Store(spark, "t"))
+    assert none is None and plain.where("doc_id is not null and doc_id != _row_key").count() == 0
+
+
+def test_near_duplicates_among_texts_of_one_id(spark):
+    rnd = random.Random(1)
+    a, b, c = (sentence(rnd, 80) for _ in range(3))
+    docs = spark.createDataFrame([(1, a), (5, near(rnd, a)), (2, b), (5, near(rnd, b)), (9, c), (9, c), (None, a)], SCHEMA)
+    got = sorted(((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.near_duplicates(docs, 3, "0.85").collect()))
+    assert got == [(-1, -1, True), (1, 1, True), (2, 2, True), (5, 1, False), (5, 2, False), (9, 9, True), (9, 9, True)]
+    kept = minhash.without_near_duplicates(docs.withColumn("component_id", F.lit(3)), 3, "0.85")
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == sorted([(-1, a), (1, a), (2, b), (9, c), (9, c)]) and kept.columns == ["doc_id", "text", "component_id"]
+
+
+def test_repeats_among_texts_of_one_id(spark):
+    rnd = random.Random(2)
+    x, y = sentence(rnd, 80), sentence(rnd, 80)
+    got = collections.defaultdict(list)
+    for r in suffixdedup.drop_repeats(spark.createDataFrame([(1, x), (2, x), (2, y), (3, y), (3, y)], SCHEMA)).collect():
+        got[r.doc_id].append((r.n_removed, r.kept_sha256))
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    gone = (len(x.encode()), digest(""))
+    assert got[1] == [(0, digest(x))] and sorted(got[2]) == sorted([gone, (0, digest(y))]) and got[3] == [(len(y.encode()), digest(""))] * 2
+
+
+@pytest.mark.parametrize("ids", ["same", "null", "own", "sparse"])
+def test_equal_rows_are_dealt_over_shards(spark, ids):
+    rnd = random.Random(3)
+    of = {"same": lambda i: 7, "null": lambda i: None, "own": lambda i: i, "sparse": lambda i: rnd.randrange(-(1 << 62), 1 << 62)}[ids]
+    rows = [(of(i), "w " * 100) for i in range(1500)] + [(10_000 + i, sentence(rnd, rnd.randrange(20, 50))) for i in range(1500)]
+    got = kdtree.shard(spark.createDataFrame(rows, SCHEMA), n_shards=12).collect()
+    size, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        size[r.shard] += r.size
+        slots[r.shard].append((r.slot, r.doc_id))
+    assert len(got) == 3000 and sorted(size) == list(range(12)) and max(size.values()) < 1.03 * min(size.values())
+    for s in slots.values():
+        assert sorted(n for n, _ in s) == list(range(len(s)))
+        order = [d for _, d in sorted(s, key=lambda x: x[0])]
+        assert order == sorted(order, key=lambda d: (d is None, d or 0))
+
+
+def test_control_rows_are_literals(spark):
+    got = kdtree._values(spark, [(1, 2.5, True, -(1 << 62)), (2, 1e300, False, 3)], "a int, b double, c boolean, d long")
+    assert [tuple(r) for r in got.collect()] == [(1, 2.5, True, -(1 << 62)), (2, 1e300, False, 3)]
+    assert kdtree._values(spark, [], "a int, b double").count() == 0
+
+
+def test_vectors_of_any_magnitude(spark):
+    direction = np.array([3.0, -1.0, 2.0, 0.5])
+    rows = [(i, (direction * f).tolist()) for i, f in enumerate([1e200, 2e200, 1e-200, 3e-200, 1.0, 5e-324 / 0.5])] + [(9, (-direction).tolist())]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in hyperplane.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [got[i] for i in range(5)] == [(4, 0)] * 5 or [got[i] for i in range(6)] == [(5, 0)] * 6
+    assert got[9] == (0, 9)
+
+
+def find(items, texts):
+    raw = [t.encode() for t in texts]
+    return Items(items).hits(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+
+
+def test_short_passages_with_one_edit():
+    rnd = random.Random(4)
+    for m in range(20, 31):
+        for _ in range(150):
+            s = "".join(rnd.choice("abcdefgh") for _ in range(m))
+            k = rnd.randrange(1, m - 1)
+            edited = s[:k] + rnd.choice(["z", "", "z" + s[k]]) + s[k + 1:]
+            assert [i for i, _ in find([(1, s)], ["p q " * 5 + edited + " r s" * 5])[0]] == [1], (s, edited)
+
+
+def test_runs_of_one_character_and_of_two():
+    assert find([(1, "a" * 1000), (2, "-" * 400)], ["a" * 20_000, "-" * 399, "-" * 390 + "+" * 10 + "-" * 390, "b" * 50]) == [[(1, 0)], [(2, 1)], [(2, 10)], []]
+    assert find([(1, "ab" * 300 + "c")], ["ab" * 5000, "ab" * 5000 + "c"]) == [[(1, 1)], [(1, 0)]]
+
+
+def test_dense_and_listed_hits_agree(monkeypatch):
+    """The same passages whether shared grams are listed in small lots or in one."""
+    from coursematch.llm import decontam
+    rnd = random.Random(5)
+    passages = [" ".join(rnd.choice(["to", "be", "or", "not"]) for _ in range(n)) for n in (8, 30, 60)]
+    texts = [" ".join(rnd.choice(["to", "be", "or", "not"]) for _ in range(400)) + (" " + rnd.choice(passages)) * (i % 2) for i in range(12)]
+    one = find(list(enumerate(passages)), texts)
+    monkeypatch.setattr(decontam, "HITS_AT_ONCE", 50)
+    assert find(list(enumerate(passages)), texts) == one and any(one)
+
+
+def test_no_items(spark):
+    docs = spark.createDataFrame([(1, "a text")], SCHEMA)
+    assert [r.hits for r in contamination(docs, spark.createDataFrame([], "item_id long, text string")).collect()] == [[]]
+
+
+# ---------------------------------------------------------------- mixing
+
+def least(p, t, targets, most):
+    """Plain accelerated projected gradient on all rows, far past convergence."""
+    a = (p * t[:, None]).T
+    rate = 1 / np.linalg.norm(a @ (a.T / np.maximum(t * (p @ a.sum(1)), 1e-9)[:, None]), 2)
+    d = rate / np.maximum(t * (p @ a.sum(1)), 1e-9)
+    x = y = np.ones(len(t)) if most is None else np.full(len(t), min(1.0, most))
+    k = 1.0
+    for _ in range(20000):
+        new = np.clip(y - d * (a.T @ (a @ y - targets)), 0, most)
+        nk = (1 + np.sqrt(1 + 4 * k * k)) / 2
+        if (y - new) / d @ (new - x) > 0:
+            nk, y = 1.0, new
+        else:
+            y = new + (k - 1) / nk * (new - x)
+        x, k = new, nk
+    return a @ x
+
+
+@pytest.mark.parametrize("share, most", [((0.8, 0.15, 0.05), None), ((0.7, 0.3, 0.0), 1.0), ((1.0, 1.0, 0.0), 1.0), ((0.55, 0.25, 0.2), 3.0), ((0.1, 0.1, 0.8), 5.0)])
+@pytest.mark.parametrize("sharp", [8, 3])
+def test_rates_are_least_squares(spark, sharp, share, most):
+    rng = np.random.default_rng(6)
+    n = 400
+    logit = rng.normal(size=(n, 3))
+    logit[np.arange(n), rng.choice(3, n, p=[0.8, 0.15, 0.05])] += sharp
+    p = np.exp(logit)
+    p /= p.sum(1, keepdims=True)
+    t = rng.integers(0, 500, n).astype(float)
+    mass = (p * t[:, None]).sum(0)
+    targets = mass * share if share == (1.0, 1.0, 0.0) else mass.sum() * np.array(share)
+    store = Store(spark, "t")
+    numbers = store.put(spark.createDataFrame([(float(a), *map(float, b)) for a, b in zip(t, p)], "n_tokens double, p0 double, p1 double, p2 double"), "numbers")
+    steps, total, got, settled = mixing.fit_rates(numbers, targets, store, most)
+    cols = [F.col(f"p{i}") for i in range(3)]
+    rated = numbers.withColumn("rate", mixing.rate_column(steps, mixing._weight(cols, total), cols, most)).toPandas()
+    ends = (rated[["p0", "p1", "p2"]].to_numpy() * (rated.rate * rated.n_tokens).to_numpy()[:, None]).sum(0)
+    assert np.allclose(ends, got, rtol=1e-6, atol=1e-3) and rated.rate.min() >= 0 and (most is None or rated.rate.max() <= most)
+    best = least(p, t, targets, most)
+    loss = lambda x: float(np.linalg.norm(x - targets) / mass.sum())
+    assert loss(got) <= loss(best) + 1e-4
+    assert settled or loss(got) > 1e-6
+
+
+def test_totals_after_rounding_by_hash(spark):
+    """Documents kept by a hash under their rates hold the expected tokens, within the spread of such draws."""
+    rated = spark.range(20000).select("id", F.lit(100.0).alias("t"), (F.pmod("id", F.lit(10)) / 10.0).alias("rate"))
+    draw = F.pmod(F.xxhash64("id", F.lit("x")), F.lit(1 << 30)) / float(1 << 30)
+    kept = rated.where(draw < F.col("rate")).agg(F.sum("t")).first()[0]
+    spread = 100 * np.sqrt(sum(2000 * r / 10 * (1 - r / 10) for r in range(10)))
+    assert abs(kept - 20000 * 100 * 0.45) < 4 * spread
