@@ -1,7 +1,8 @@
 """Phrase collocations by vertical partitioning of the word suffixes.
 
 1. Words are counted; only a word that stands often enough can be part of a frequent phrase, so each
-   place's suffix is cut at the first rare word (a fixed bitmap says which; a false yes only costs bytes).
+   place's suffix is cut at the first rare word, and between two words whose pair is rare. Bitmaps of fixed size say which,
+   that of the pairs from counts by hash; a false yes only costs bytes.
 2. Prefixes are grouped by a memory budget: a prefix (of one word, at first) that stands more often than the budget is
    extended by a word, each extension counted by a pass over the texts; the others are packed into groups that
    stay within the budget.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,8 @@ MOST_GROUPS = 1 << 20
 SLOTS = 16
 #: Bits of the bitmap of frequent words.
 BITS = 26
+#: log2 of the counters of word pairs, and of those in one row of a shuffle.
+PAIR_BITS, PAIR_BLOCK = 24, 16
 #: Different words, and suffixes, that a task counts together before it passes them on.
 FLUSH_WORDS = 1 << 18
 FLUSH = 1 << 20
@@ -109,22 +113,87 @@ def _bit(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at >> 3, (1 << (at & 7)).astype(np.uint8)
 
 
-def _windows(s: Suffixes, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places whose word may be frequent, and the length of each one's suffix: up to the depth, the piece's end or a rare word."""
-    byte, bit = _bit(s.hashes)
-    good = (frequent[byte] & bit) != 0
-    stop = np.append(~good, True)
+class Sieve(NamedTuple):
+    """Bitmaps of the words, and the pairs of words, that may be frequent."""
+
+    words: np.ndarray
+    pairs: np.ndarray | None = None
+
+    def word(self, h: np.ndarray) -> np.ndarray:
+        byte, bit = _bit(h)
+        return (self.words[byte] & bit) != 0
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if self.pairs is None:
+            return np.ones(len(a), bool)
+        at = _pair(a, b)
+        return (self.pairs[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (_extend(a, b) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+
+def _windows(s: Suffixes, sieve: Sieve, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose word may be frequent, and the length of each one's suffix: up to the depth, the piece's end, a rare word or a rare pair."""
     n = len(s.hashes)
-    length = good.astype(np.int8)
-    on = good.copy()
-    for j in range(1, DEPTH):
-        to = np.minimum(np.arange(n) + j, n)
-        on &= ~s.new[to] & ~stop[to]
+    good = sieve.word(s.hashes)
+    to_next = np.zeros(n + 1, bool)     # the next word goes on with a suffix
+    if n > 1:
+        to_next[:n - 1] = good[:-1] & good[1:] & ~s.new[1:n]
+        at = np.flatnonzero(to_next)
+        to_next[at] = sieve.pair(s.hashes[at], s.hashes[at + 1])
+    length, on = good.astype(np.int8), good.copy()
+    for j in range(1, depth):
+        on &= to_next[np.minimum(np.arange(n) + j - 1, n)]
         length += on
     at = np.flatnonzero(good)
     return at, length[at]
 
 
+def _sketch_pairs(sieve: Sieve) -> Callable:
+    """Counts of the pairs of frequent words by hash, up to 65,535, as rows of counters."""
+    schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+
+    def task(batches):
+        counts = np.zeros(1 << PAIR_BITS, np.uint16)
+        any_ = False
+        for s in _runs(batches):
+            at, length = _windows(s, sieve, 2)
+            at = at[length > 1]
+            if len(at):
+                slot, n = np.unique(_pair(s.hashes[at], s.hashes[at + 1]), return_counts=True)
+                counts[slot] = np.minimum(counts[slot] + n, 65535)
+                any_ = True
+        if any_:
+            blocks = counts.reshape(-1, 1 << PAIR_BLOCK)
+            for i in range(0, len(blocks), 32):
+                yield pa.RecordBatch.from_pydict({"block": list(range(i, i + 32)), "counts": [b.tobytes() for b in blocks[i: i + 32]]}, schema)
+    return task
+
+
+def _frequent_pairs(least: int) -> Callable:
+    """Added counters of each block (``block``, ``counts``, sorted by block) as bits: ``least`` or more."""
+    schema = pa.schema([("block", pa.int32()), ("bits", pa.binary())])
+
+    def bits(block, total):
+        return pa.RecordBatch.from_pydict({"block": [block], "bits": [np.packbits(total >= min(least, 65535), bitorder="little").tobytes()]}, schema)
+
+    def task(batches):
+        block, total = None, None
+        for batch in batches:
+            for b, c in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(c.as_buffer(), np.uint16)
+                if b != block:
+                    if block is not None:
+                        yield bits(block, total)
+                    block, total = b, np.zeros(len(part), np.int64)
+                total += part
+        if block is not None:
+            yield bits(block, total)
+    return task
+
+
 def _extend(key: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The key of a prefix with one more word; that of a single word is its hash."""
     return mix(key * _STEP + h)
@@ -148,18 +217,27 @@ def _prefixes(h: Callable[[int], np.ndarray], length: np.ndarray, hot: list[np.n
     return key, depth
 
 
-def _count_prefixes(frequent: np.ndarray, hot: list[np.ndarray]) -> Callable:
+def _count_prefixes(sieve: Sieve, hot: list[np.ndarray]) -> Callable:
     """Counts of the prefixes that the last list of ``hot`` has extended."""
     schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
     level = len(hot) + 1
 
+    def counted(held):
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], schema=schema)
+
     def task(batches):
+        held, size = [], 0
         for s in _runs(batches):
-            at, length = _windows(s, frequent)
+            at, length = _windows(s, sieve)
             key, depth = _prefixes(lambda j: s.hashes[np.minimum(at + j, len(s.hashes) - 1)], length, hot)
-            keys, n = np.unique(key[depth == level], return_counts=True)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], schema=schema)
+            held.append(key[depth == level])
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
     return task
 
 
@@ -196,7 +274,7 @@ def _leaves(lanes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return lanes[:, at], np.add.reduceat(counts[order], at)
 
 
-def _deal(frequent: np.ndarray, hot: list[np.ndarray], group: np.ndarray) -> Callable:
+def _deal(sieve: Sieve, hot: list[np.ndarray], group: np.ndarray) -> Callable:
     """The suffixes of many texts by group, equal ones as one with a count."""
     schema = pa.schema([("g", pa.int32()), ("lang", pa.string()), ("leaves", pa.binary())])
     shift = np.uint64(64 - (len(group).bit_length() - 1))
@@ -219,7 +297,7 @@ def _deal(frequent: np.ndarray, hot: list[np.ndarray], group: np.ndarray) -> Cal
     def task(batches):
         held, size = [], 0
         for s in _runs(batches):
-            at, length = _windows(s, frequent)
+            at, length = _windows(s, sieve)
             if not len(at):
                 continue
             n = len(s.hashes)
@@ -294,6 +372,12 @@ def frequent_phrases(docs: DataFrame, least: int = 100, depth: int = DEPTH, budg
     # at most 2^20 rows come to the driver, whatever the vocabulary
     for r in vocab.select(F.shiftright(at, 6).alias("w"), (at % 64).cast("int").alias("b")).groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toLocalIterator():
         frequent[r.w * 8: r.w * 8 + 8] |= np.frombuffer(np.int64(r.bits).tobytes(), np.uint8)
+    sieve = Sieve(frequent)
+    sketched = texts.mapInArrow(_sketch_pairs(sieve), "block int, counts binary").repartition(partitions(spark), "block").sortWithinPartitions("block")
+    pairs = np.zeros((1 << (PAIR_BITS - PAIR_BLOCK), 1 << (PAIR_BLOCK - 3)), np.uint8)
+    for r in sketched.mapInArrow(_frequent_pairs(least), "block int, bits binary").toLocalIterator():    # 2 MB in all
+        pairs[r.block] = np.frombuffer(bytes(r.bits), np.uint8)
+    sieve = Sieve(frequent, pairs.ravel())
     standing = int(vocab.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     budget = max(budget, standing // MOST_GROUPS)
     n_groups = max(1, -(-2 * standing // budget))
@@ -312,7 +396,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, depth: int = DEPTH, budg
         if not len(hot_now):
             break
         hot.append(hot_now)
-        nxt = texts.mapInArrow(_count_prefixes(frequent, hot), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        nxt = texts.mapInArrow(_count_prefixes(sieve, hot), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         prefix_tables.append(store.put(nxt, "prefixes"))
 
     def slot_loads(batches):
@@ -335,7 +419,7 @@ def frequent_phrases(docs: DataFrame, least: int = 100, depth: int = DEPTH, budg
             g, held = g + 1, 0
         group[i] = g
         held += int(n)
-    dealt = texts.mapInArrow(_deal(frequent, hot, group), "g int, lang string, leaves binary")
+    dealt = texts.mapInArrow(_deal(sieve, hot, group), "g int, lang string, leaves binary")
     dealt = dealt.repartition(max(partitions(spark), min(g + 1, 8 * partitions(spark))), "g").sortWithinPartitions("g", "lang")
     nodes = dealt.mapInArrow(_subtrees(hot, least, depth), "lang string, path binary, f long")
     return store.put(nodes.groupBy("lang", "path").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "nodes"), vocab, totals
