@@ -164,8 +164,7 @@ def sieved(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 
 def _counted(m: int, shared=None):
-    """Counts of the runs of m words whose context (up to three words) or its suffix may be in the bitmap, summed
-    within a task as far as they come together."""
+    """Counts of the runs of m words whose context may be in the bitmap, summed within a task as far as they come together."""
     def run(batches):
         held, n = [], 0
 
@@ -177,10 +176,8 @@ def _counted(m: int, shared=None):
         for _, data, offs in slices(batches):
             t, first = tokens(data, offs)
             k, ctx, suf, ok = grams(t, first, m)
-            if m in (2, 3):
+            if m > 1:
                 ok &= sieved(shared.value, ctx)
-            elif m > 3:         # the context's suffix stands as often at least
-                ok &= sieved(shared.value, np.roll(grams(t, first, m - 2)[0], 1))
             held.append((k[ok], ctx[ok], suf[ok]))
             n += len(held[-1][0])
             if n >= FLUSH:
@@ -262,13 +259,10 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
     values = [table.select("k", "n", root(F.col("n")).alias("base"), root(F.col("n")).alias("v"), F.lit(1).alias("known"))]
     length = 1
     while length <= DEPTH:
-        if length < 3:
-            candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end")).select(F.col("k").alias("ctx"), F.col("n").alias("size"))
-        shared = sc.broadcast(bitmap(candidates.select(F.col("ctx").alias("k"))))      # from the third length on, those of the length before
+        # a context is a run of the length before, and was counted then
+        candidates = lower.where((F.col("n") >= LEAST_CONTEXT) & ~F.col("end")).select(F.col("k").alias("ctx"), F.col("n").alias("size"))
+        shared = sc.broadcast(bitmap(candidates.select(F.col("ctx").alias("k"))))
         runs = train.mapInArrow(_counted(length + 1, shared), "ctx long, suf long, n long").groupBy("ctx", "suf").agg(F.sum("n").alias("n"))
-        if length >= 3:         # a context stands as often as some word follows it
-            runs = store.put(runs, f"counts{length + 1}")
-            candidates = runs.groupBy("ctx").agg(F.sum("n").alias("size")).where(F.col("size") >= LEAST_CONTEXT)
         found = (runs.where(F.col("n") >= LEAST).join(candidates, "ctx")
                  .join(lower.select(F.col("k").alias("suf"), "end", F.col("log").alias("lower")), "suf")
                  .select("ctx", "suf", "n", "size", "end", "lower"))
@@ -280,9 +274,6 @@ def score(documents: DataFrame, text: str = "text") -> DataFrame:
         lower = store.put(found.join(kept.select("ctx", "back"), "ctx", "left")
                           .select("k", "n", "end", F.coalesce(log, "lower").alias("log"), (log - F.col("lower") - F.col("back")).alias("v")), f"logs{length + 1}")
         values.append(lower.where("v is not null").select("k", "n", F.lit(0.0).alias("base"), "v", F.lit(0).alias("known")))
-        if length >= 3 and length < DEPTH:
-            candidates = store.put(candidates, f"candidates{length}")
-            store.drop(runs)
         store.drop(found)
         length += 1
 

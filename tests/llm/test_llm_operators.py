@@ -177,16 +177,16 @@ def test_suffix_tree_states_are_distributions():
 
 
 def by_hand(train, texts):
-    """Scores of a suffix tree over tuples, length by length until one keeps no state; and the longest kept context."""
+    """Scores of a suffix tree over tuples, every context up to its depth tried by its count alone; and the longest kept context."""
     n = collections.Counter(tuple(t[i:j]) for t in train for i in range(len(t)) for j in range(i + 1, len(t) + 1))
     total, kinds = sum(c for g, c in n.items() if len(g) == 1), sum(len(g) == 1 for g in n)
     log = {g: math.log10((c + 1) / (total + kinds + 1)) for g, c in n.items() if len(g) == 1}
     back, length = {}, 0
-    while True:
+    while length < suffixtree.DEPTH:
         length += 1
         after = collections.defaultdict(list)
         for g, c in n.items():
-            if len(g) == length + 1 and c >= 2 and n[g[:-1]] >= 4 and (length < 3 or g[1:-1] in back):
+            if len(g) == length + 1 and c >= 2 and n[g[:-1]] >= 4:
                 after[g[:-1]].append(g)
         kept = {}
         for ctx, found in after.items():
@@ -197,8 +197,6 @@ def by_hand(train, texts):
                 kept[ctx] = 1 - sum((n[g] - 0.75) / n[ctx] for g in found)
             for g, b in zip(found, below):
                 log[g] = math.log10((n[g] - 0.75) / n[ctx] + kept[ctx] * b) if ctx in kept else log[g[1:]]
-        if not kept:
-            break
         back |= kept
 
     def word(t, i):
@@ -211,9 +209,10 @@ def by_hand(train, texts):
     return [sum(word(t, i) for i in range(len(t))) for t in texts], max(map(len, back))
 
 
-@pytest.mark.parametrize("head", [1e-6, 2.0])
-def test_suffix_tree_by_hand(spark, monkeypatch, head):
+@pytest.mark.parametrize("head, depth", [(1e-6, 3), (2.0, 4)])
+def test_suffix_tree_by_hand(spark, monkeypatch, head, depth):
     monkeypatch.setattr(suffixtree, "HEAD", head)     # the same scores whichever runs are joined
+    monkeypatch.setattr(suffixtree, "DEPTH", depth)
     rng = random.Random(7)
     rows = []
     for i in range(300):            # a word is one of the three before it
