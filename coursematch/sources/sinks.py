@@ -81,8 +81,7 @@ def write_objects(result: DataFrame, path: str, prefix: str = "part", replace: s
         overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
-        unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        value = lambda folder: unescape(folder.getPath().getName().split("=", 1)[1])
+        value = lambda folder: folder.getPath().getName().split("=", 1)[1]  # noqa: E731  (escaped, as in folder names)
         folders = lambda p: [f for f in fs.listStatus(p) if f.isDirectory()]
         for first in folders(to_path(work, "parts")):
             for last in folders(first.getPath()):
@@ -118,11 +117,13 @@ def write_objects(result: DataFrame, path: str, prefix: str = "part", replace: s
 
 
 def read_objects(spark: SparkSession, path: str, schema: StructType, prefix: str = "part") -> DataFrame:
-    """The objects of ``write_objects`` with the types they had; the pair comes from the object's name."""
+    """The objects of ``write_objects`` with the types they had; the pair comes from the object's name (its last year has no '-')."""
     body = StructType([f for f in schema.fields if f.name not in PAIR])
     rows = spark.read.schema(body).options(**CSV_OPTIONS).csv(f"{path.rstrip('/')}/{prefix}-*.csv.gz").select("*", F.col("_metadata.file_name").alias("_name"))
-    pair = F.regexp_extract_all("_name", F.lit(rf"^{prefix}-(.*)-([^-]*)\.csv\.gz$"), 1), F.regexp_extract_all("_name", F.lit(rf"^{prefix}-(.*)-([^-]*)\.csv\.gz$"), 2)
-    return rows.withColumns({PAIR[0]: F.try_element_at(pair[0], F.lit(1)), PAIR[1]: F.try_element_at(pair[1], F.lit(1))}).select([f.name for f in schema.fields])
+    found = [F.regexp_extract("_name", rf"^{prefix}-(.*)-([^-]*)\.csv\.gz$", i) for i in (1, 2)]
+    decode = lambda v: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B")))
+    pair = [decode(decode(v)) for v in found]       # once for the URI that Spark gives, once for the name
+    return rows.withColumns(dict(zip(PAIR, pair))).select([f.name for f in schema.fields])
 
 
 def read_result(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

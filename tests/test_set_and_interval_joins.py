@@ -41,7 +41,7 @@ def test_wildcards_inside_and_out_against_regex(spark):
 
 
 def test_candidates_are_those_of_the_rarest_gram(spark):
-    """600 courses of 40 subjects: a pattern without a literal prefix meets a few of them, not a tenth."""
+    """600 courses of 40 subjects: a pattern without a literal prefix meets those of its rarest gram."""
     subjects = ["".join(p) for p in itertools.islice(itertools.product("ABCDE", "FGHI", "KL"), 40)]
     values = spark.createDataFrame([(f"{s} {100 + 7 * i % 600}",) for i, s in enumerate(subjects * 15)], "value string").distinct()
     patterns = spark.createDataFrame([("_FK 1__",), ("%FK 12%",), ("___ 107",), ("%GL%9",), ("*",), ("A%",)], "pattern string")
@@ -63,7 +63,7 @@ def test_candidates_are_those_of_the_rarest_gram(spark):
         return min(counts)
 
     assert got == {p: fewest(p) for p in ("_FK 1__", "%FK 12%", "___ 107", "%GL%9", "A%") if fewest(p)}
-    assert got["_FK 1__"] <= len(all_values) / 20
+    assert got["_FK 1__"] <= len(all_values) / 10      # a key of one character would meet a quarter
 
 
 def interval_rows(rnd, n, keys):
