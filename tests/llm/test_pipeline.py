@@ -8,7 +8,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
