@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from coursematch.llm import crf, decontam, hyperplane, kdtree, licenses, linededup, minhash, mixing, suffixdedup, suffixtree
 from coursematch.llm.common import Store
 from coursematch.llm.components import components
+from plain_tree import BITS, Tree
 
 RND = random.Random(5)
 VOCAB = ["alpha", "Beta", "gamma", "delta", "épsilon", "zeta", "eta", "theta", "iota", "kappa", "lambda", "mu"]
@@ -159,13 +160,13 @@ def test_suffix_tree_states_are_distributions():
     for _ in range(40_000):         # a chain of order two
         seq.append(int((seq[-1] * 3 + (seq[-2] if len(seq) > 1 else 0) + (rng.random() < 0.2) * rng.integers(1, 6)) % 6))
     t, first = np.array(seq, np.int64) + 10, np.array([0, len(seq)])
-    tree = suffixtree.Tree(len(t), 6)
+    tree = Tree(len(t), 6)
     tree.words, tree.n = np.unique(t, return_counts=True)
     tree.contexts[0] = np.ones(6, bool)
     for level in (0, 1):
         w, ctx = tree.numbers(t, first, level + 1)
         ok = ctx[level] >= 0
-        tree.learn(level, *np.unique((ctx[level][ok] << suffixtree.BITS) | w[ok], return_counts=True))
+        tree.learn(level, *np.unique((ctx[level][ok] << BITS) | w[ok], return_counts=True))
     assert np.isfinite(tree.back[1]).sum() > 10
     smooth = 1 / (tree.total + tree.kinds + 1)          # the root keeps this much for words not seen
     for a in range(6):
