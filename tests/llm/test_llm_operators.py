@@ -4,8 +4,10 @@ import collections
 import functools
 import hashlib
 import math
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -237,6 +239,33 @@ def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
     assert r.train_tokens > 7_000_000 and r.score > r.base_score + 8
 
 
+def test_suffix_tree_leaves_no_shuffled_runs(spark):
+    rng = random.Random(4)
+    words_ = [f"w{i}" for i in range(20_000)]
+    rows = [(i, " ".join(rng.choices(words_, k=500))) for i in range(400)]
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f: f.stat().st_size for d in folders for f in pathlib.Path(d).glob("*/shuffle_*.data")}
+    before = files()
+    got = suffixtree.score(spark.createDataFrame(rows, "doc_id long, text string"))
+    for _ in range(20):             # files go a little later
+        left = sum(n for f, n in files().items() if f not in before)
+        if left < 2e6:
+            break
+        time.sleep(0.5)
+    assert left < 2e6               # 200,000 pairs of words, most of them there once, are more
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_suffix_tree_index():
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate([rng.integers(-2**63, 2**63 - 1, 5000), np.arange(-20, 20), [2**63 - 1, -2**63]]))
+    rng.shuffle(keys)
+    x = np.concatenate([keys, rng.integers(-2**63, 2**63 - 1, 5000), [0, -1, 21]])
+    place = {k: i for i, k in enumerate(keys.tolist())}
+    assert suffixtree.Index(keys).find(x).tolist() == [place.get(k, -1) for k in x.tolist()]
+    assert suffixtree.Index(keys[:0]).find(x[:3]).tolist() == [-1] * 3
+
+
 def test_decontamination(docs, empty, spark):
     rng = random.Random(2)
     items = [(i, "".join(rng.choice("abcdefghij é") for _ in range(n)).strip() + "z") for i, n in enumerate([60, 120, 300, 90, 11, 3])]
