@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursematch.staging import stage
+
 #: The bit of "some character outside the known codes"; at most 62 codes have a bit of their own.
 OTHER = 62
 EMPTY = -1
@@ -55,13 +57,14 @@ def accepted_combinations(criteria: DataFrame, combinations: DataFrame, codes: S
     Met: every accept code stands in the combination; no any-of reject code does; and not (both the all-of
     reject string and the combination are non-empty and every code of the combination is among the rejects).
     All three are bit operations on masks, except where a string has characters outside ``codes``: those
-    pairs are tested on the strings themselves. NULL strings read as ''. Empty tables give none.
+    pairs are tested on the strings themselves. NULL strings read as ''. Empty tables give none. Both sides are staged, distinct:
+    they are read several times, and ``criteria`` may be a long computation.
     """
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     c = criteria.select(text("ac_all"), text("rc_ord"), text("rc_and")).distinct()
     w = combinations.select(text("ac_cw")).distinct()
-    c = c.select("*", *[code_mask(F.col(k), codes).alias(m) for k, m in (("ac_all", "mask"), ("rc_ord", "_any"), ("rc_and", "_all"))])
-    w = w.withColumn("super_mask", code_mask(F.col("ac_cw"), codes))
+    c = stage(c, "criteria").select("*", *[code_mask(F.col(k), codes).alias(m) for k, m in (("ac_all", "mask"), ("rc_ord", "_any"), ("rc_and", "_all"))])
+    w = stage(w, "combinations").withColumn("super_mask", code_mask(F.col("ac_cw"), codes))
     met = containing(c, w.select(F.col("super_mask").alias("mask")), len(codes))
     pairs = c.join(met, "mask").join(w, "super_mask")
     other = F.lit(1 << OTHER)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursematch.staging import stage
+
 KEYS = ["ac_all", "rc_ord", "rc_and", "ac_cw"]
 
 
@@ -73,9 +75,9 @@ def indexed_characters(strings: DataFrame, longest: int = 60) -> DataFrame:
 
 def code_flags_by_index(pairs: DataFrame) -> DataFrame:
     """``code_flags`` from characters that a recursive query has numbered: each string of a criteria row is joined to its
-    characters and each character tested against the combination."""
+    characters and each character tested against the combination. The rows are staged, as they are read five times."""
     w = F.coalesce(F.col("ac_cw"), F.lit(""))
-    base = pairs.select(*[F.coalesce(F.col(k), F.lit("")).alias(k) for k in KEYS[:3]], w.alias("ac_cw")).distinct()
+    base = stage(pairs.select(*[F.coalesce(F.col(k), F.lit("")).alias(k) for k in KEYS[:3]], w.alias("ac_cw")).distinct(), "criteria-pairs")
     every = base.select(F.explode(F.array("ac_all", "rc_ord", "ac_cw")).alias("s"))
     chars = indexed_characters(every)
 
