@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from coursematch.operators import containment, explode
-from coursematch.plans import rules
+from coursematch.plans import lists, rules
 from coursematch.queries import QUERIES, inputs
 
 REQ = "instidq string, instid string, instcd string, rname string, rqfyt string, lyt string, rtitle1 string, rqtype string, ac1 string, ac2 string, rc1 string, rc2 string"
@@ -53,11 +53,11 @@ def _spy(monkeypatch, *modules) -> dict:
     return staged
 
 
-def test_lists_that_no_row_names_are_not_stored(spark, monkeypatch):
-    staged = _spy(monkeypatch, rules)
+def test_lists_that_no_row_names_are_not_joined(spark, monkeypatch):
+    staged = _spy(monkeypatch, rules, lists)
     rules.expand_rules(*_tables(spark, 3))
     named = {r[0].strip() for r in staged["course-rows"].where("trim(sra_matchctl) = 'L'").select("sra_course").collect()}
-    kept = {r[0].strip() for r in staged["lists"].select("rname").distinct().collect()}
+    kept = {r[0].strip() for r in staged["named-lists"].select("li_rname").distinct().collect()}
     every = {r[0].strip() for r in staged["course-rows"].where("trim(rm_rqtype) = 'L'").select("sr_rname").distinct().collect()}
     assert kept and kept <= named and kept < every
 
